@@ -1,0 +1,129 @@
+"""The sync job: ingest, unify, history, differences; then results back in.
+
+Steps hand over through tables, as each is read by several later ones.  A run reads its own batch and
+the states before it, never the whole past: snapshots grow from the snapshot before and the new bronze
+rows, and history rewrites its open versions only.  Run ids must grow; a repeated run replaces itself.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from twinsync.functions.keys import row_checksum
+from twinsync.functions.payloads import to_patch
+from twinsync.operators import deltas, history, match, outbox, snapshot, state
+from twinsync.rules import CONTACT_RULES, SYSTEM_A, SYSTEM_B, UNIFIED_ID, FieldRule, System
+from twinsync.sources import landing
+from twinsync.sources.tables import Tables, write_by_date
+
+ENTITY = "contacts"
+_BY_SYSTEM = ("system", "entity")
+
+
+def sync_view(matched: DataFrame, rules: Sequence[FieldRule] = CONTACT_RULES) -> DataFrame:
+    """What a run would do, in one projection: unified record, checksum, and the patch for either side."""
+
+    def patch(target: System) -> Column:
+        updates = deltas.updates_for(target, rules)
+        return F.when(F.size(updates) > 0, to_patch(updates)).alias(f"{target.name}_payload")
+
+    unified = match.survivors(rules)
+    return matched.select(
+        UNIFIED_ID, SYSTEM_A.id, SYSTEM_B.id, *unified, row_checksum(unified).alias("checksum"),
+        patch(SYSTEM_A), patch(SYSTEM_B),
+    )
+
+
+def ingest(
+    tables: Tables, landed: DataFrame, system: System, run_id: int, as_of: datetime, default: datetime | None
+) -> DataFrame:
+    """Landed text to bronze rows.  The position moves last, and only if rows came in."""
+    step = f"ingest_{system.name}"
+    since = state.watermark_of(tables.log("meta/watermarks", before=run_id), ENTITY, system.name, default)
+    parsed = landing.parse_records(landed, system, as_of)
+    accepted = landing.accepted_records(parsed, system, since)
+    written = write_by_date(tables, f"bronze/{system.name}_raw", accepted, "load_ts", run_id)
+
+    rejected = landing.rejected_records(parsed, system)
+    letters = state.dead_letters(rejected, system.name, as_of, F.col("key"), F.col("reason"), F.col("raw"))
+    tables.append("meta/dead_letter", letters, run_id, step, _BY_SYSTEM)
+
+    counted = landing.high_water(written, system.modified)
+    tables.append("meta/audit_log", state.audit_ingest(counted, system, as_of, since), run_id, step, _BY_SYSTEM)
+    newest = counted.first()["high_water"]
+    if newest is not None:
+        moved = state.watermark_advance(tables.spark, ENTITY, system.name, newest, as_of)
+        tables.append("meta/watermarks", moved, run_id, step, ("entity",))
+    return written
+
+
+def refresh_snapshot(tables: Tables, written: DataFrame, system: System, run_id: int) -> DataFrame:
+    """The snapshot before and the run's bronze rows, latest per id."""
+    name = f"silver/{system.name}_snapshot"
+    changes = tables.state(name, before=run_id).unionByName(written.select(*system.snapshot_columns))
+    return tables.replace(name, snapshot.snapshot(changes, system), run_id)
+
+
+def refresh_history(tables: Tables, unified: DataFrame, run_id: int, as_of: datetime, close_missing: bool = False) -> None:
+    """Appends the versions that closed and rewrites the open ones.
+
+    The step is written once and split by a filter, so its join runs once.
+    """
+    opened = tables.state("silver/history_open", before=run_id)
+    after = tables.replace(
+        "silver/history_step", history.scd2_step(unified, opened, as_of, close_missing=close_missing), run_id
+    )
+    tables.append("silver/history_closed", after.where(~F.col("is_current")), run_id)
+    tables.replace("silver/history_open", after.where(F.col("is_current")), run_id)
+
+
+def full_history(tables: Tables) -> DataFrame:
+    """Closed and open versions."""
+    return tables.log("silver/history_closed").unionByName(tables.state("silver/history_open"))
+
+
+def sync_run(
+    tables: Tables,
+    landed_a: DataFrame,
+    landed_b: DataFrame,
+    run_id: int,
+    as_of: datetime,
+    default_start: datetime | None = None,
+    rules: Sequence[FieldRule] = CONTACT_RULES,
+    keep_unkeyed: bool = False,
+) -> None:
+    """One run, from landed records of both systems to fresh outboxes."""
+    snapshots = []
+    for system, landed in ((SYSTEM_A, landed_a), (SYSTEM_B, landed_b)):
+        written = ingest(tables, landed, system, run_id, as_of, default_start)
+        snapshots.append(refresh_snapshot(tables, written, system, run_id))
+
+    matched = tables.replace("silver/matched", match.match_records(*snapshots, keep_unkeyed=keep_unkeyed), run_id)
+    tables.replace("silver/crosswalk", match.crosswalk(matched), run_id)
+    unified = tables.replace("silver/unified", match.unify(matched, rules), run_id)
+    refresh_history(tables, unified, run_id, as_of)
+    for target in (SYSTEM_A, SYSTEM_B):
+        patches = deltas.build_outbox(deltas.field_deltas(matched, target, rules), target)
+        tables.replace(f"gold/{target.name}_outbox", patches, run_id)
+
+
+def next_push(tables: Tables, target: System, size: int | None = outbox.BATCH_ROWS) -> outbox.Batch:
+    """What to send next."""
+    return outbox.next_batch(tables.state(f"gold/{target.name}_outbox"), target, size)
+
+
+def take_results(tables: Tables, results: DataFrame, target: System, run_id: int, as_of: datetime) -> DataFrame:
+    """Results of a push into outbox, audit log and dead letters."""
+    step = f"push_{target.name}"
+    name = f"gold/{target.name}_outbox"
+    before = tables.state(name, before=run_id)
+    pushed = outbox.outcomes(before, results, target)
+    lost = outbox.undeliverable(outbox.pending(before), target)
+    letters = state.undeliverable_letters(lost, target, as_of).unionByName(state.failed_letters(pushed, target, as_of))
+    tables.append("meta/dead_letter", letters, run_id, step, _BY_SYSTEM)
+    tables.append("meta/audit_log", state.audit_pushed_records(pushed, target, as_of), run_id, step, _BY_SYSTEM)
+    return tables.replace(name, outbox.apply_results(before, results, target, as_of), run_id)
