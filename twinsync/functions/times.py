@@ -35,7 +35,7 @@ def format_iso(time: Column) -> Column:
     """UTC wall-clock time to ISO-8601 text with ``Z``; microseconds only where there are any."""
     whole = F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     exact = F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return F.when(time == F.date_trunc("second", time).cast("timestamp_ntz"), whole).otherwise(exact)
+    return F.when(F.date_format(time, "SSSSSS") == "000000", whole).otherwise(exact)
 
 
 def request_id(kind: str, time: Column) -> Column:

@@ -48,9 +48,7 @@ def ingest(
     accepted = landing.accepted_records(parsed, system, since)
     written = write_by_date(tables, f"bronze/{system.name}_raw", accepted, "load_ts", run_id)
 
-    rejected = landing.rejected_records(parsed, system)
-    letters = state.dead_letters(rejected, system.name, as_of, F.col("key"), F.col("reason"), F.col("raw"))
-    tables.append("meta/dead_letter", letters, run_id, step, _BY_SYSTEM)
+    tables.append("meta/dead_letter", landing.reject_letters(parsed, system, as_of), run_id, step, _BY_SYSTEM)
 
     counted = landing.high_water(written, system.modified)
     tables.append("meta/audit_log", state.audit_ingest(counted, system, as_of, since), run_id, step, _BY_SYSTEM)

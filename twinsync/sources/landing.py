@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from twinsync.functions.times import at, parse_iso
 from twinsync.operators.snapshot import first_per_key
+from twinsync.operators.state import dead_letters
 from twinsync.rules import System
 
 MODIFIED_KEY = "modified"
@@ -70,10 +71,21 @@ def accepted_records(parsed: DataFrame, system: System, since: datetime | None =
     return modified_since(kept, system.modified, since)
 
 
-def rejected_records(parsed: DataFrame, system: System) -> DataFrame:
-    """The rows of a landed batch that cannot be kept, with the reason and the text as landed."""
-    return parsed.select(F.col(system.id).alias("key"), reject_reason(system).alias("reason"), "raw").where(
-        F.col("reason").isNotNull()
+def reject_letters(parsed: DataFrame, system: System, as_of: datetime) -> DataFrame:
+    """Dead letters for the rows of a landed batch that cannot be kept, with the text as landed."""
+    rejected = parsed.where(reject_reason(system).isNotNull())
+    return dead_letters(rejected, system.name, as_of, F.col(system.id), reject_reason(system), F.col("raw"))
+
+
+def batch_counts(parsed: DataFrame, system: System) -> DataFrame:
+    """Landed, accepted and rejected rows of a batch and its newest time, in one pass."""
+    kept = reject_reason(system).isNull()
+    return parsed.agg(
+        F.lit(system.name).alias("system"),
+        F.count(F.lit(1)).alias("landed"),
+        F.count_if(kept).alias("accepted"),
+        F.count_if(~kept).alias("rejected"),
+        F.max(F.when(kept, F.col(system.modified))).alias("high_water"),
     )
 
 

@@ -43,6 +43,8 @@ def stream_ingest(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = landing.parse_records(batch, system, load_ts)
         write_by_date(tables, name, landing.accepted_records(parsed, system), "load_ts", batch_id)
+        letters = landing.reject_letters(parsed, system, load_ts)
+        tables.append("meta/dead_letter", letters, batch_id, f"stream_{system.name}", ("system", "entity"))
 
     _run_available(_landed(tables.spark, landing_dir, files_per_batch), checkpoint, write_batch)
     return tables.log(name)
