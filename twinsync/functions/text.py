@@ -26,21 +26,34 @@ MASK = "[REDACTED]"
 _CARDS = rf"(?={_DIGIT}){_START}(?:{'|'.join(CARD_FORMATS)}){_END}"
 
 
-def _spellings(word: str) -> str:
-    return "|".join((word, word.upper(), word.capitalize()))
+def _spellings(word: str) -> tuple[str, str, str]:
+    return word, word.upper(), word.capitalize()
 
 
-_ANY_DIGIT_WORD = rf"{_START}(?:{'|'.join(_spellings(w) for w in DIGIT_WORDS)}){_END}"
+def _one_word(word: str) -> str:
+    """A digit word in one of its spellings.  The letters come first: they rule out most positions."""
+    return rf"(?i:{word})(?<={'|'.join(_spellings(word))})(?<!{_WORD}.{{{len(word)}}}){_END}"
+
+
+def _any_word() -> str:
+    """Any digit word: its first letter, a word start before it, then the rest of the word."""
+    rest: dict[str, list[str]] = {}
+    for word in DIGIT_WORDS:
+        for spelling in _spellings(word):
+            rest.setdefault(spelling[0], []).append(spelling[1:])
+    tails = "|".join(rf"(?<={first})(?:{'|'.join(tail)})" for first, tail in rest.items())
+    return rf"[{''.join(rest)}](?<!{_WORD}.)(?:{tails}){_END}"
 
 
 def digit_words(text: Column) -> Column:
-    """Whole words zero to nine, in lower, upper or title case, become digits."""
+    """Whole words zero to nine, in lower, upper or title case, become digits.
+
+    One search per digit, and only in texts where a first search finds any digit word.
+    """
     replaced = reduce(
-        lambda c, d: F.regexp_replace(c, rf"{_START}(?:{_spellings(DIGIT_WORDS[d])}){_END}", str(d)),
-        range(len(DIGIT_WORDS)),
-        text,
+        lambda c, digit: F.regexp_replace(c, _one_word(DIGIT_WORDS[digit]), str(digit)), range(len(DIGIT_WORDS)), text
     )
-    return F.when(text.rlike(_ANY_DIGIT_WORD), replaced).otherwise(text)
+    return F.when(text.rlike(_any_word()), replaced).otherwise(text)
 
 
 def redact_cards(text: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Left join to a dimension whose size is checked first."""
+"""Left join to a dimension whose size is measured first."""
 
 from __future__ import annotations
 
@@ -7,30 +7,25 @@ from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 64
-_SALTS = 32
 
 
 def fits_broadcast(dimension: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Measured, not guessed: the text of all rows plus a fixed overhead per row stays under the limit."""
+    """Whether the text of all rows, plus a fixed overhead per row, stays under the limit."""
     width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in dimension.columns), F.lit(0))
     size = dimension.agg(F.sum(width + F.lit(_ROW_OVERHEAD)).alias("bytes")).first()["bytes"]
     return (size or 0) <= limit
 
 
-def left_lookup(rows: DataFrame, dimension: DataFrame, key: Column, spread: Column, broadcast: bool) -> DataFrame:
+def left_lookup(rows: DataFrame, dimension: DataFrame, key: Column, row_id: str, broadcast: bool) -> DataFrame:
     """``rows`` with the value columns of ``dimension``, whose first column is its unique key.
 
-    Too large for a broadcast, the dimension is copied once per salt, and the rows of a hot key, as
-    well as rows without a key, go to as many tasks.  ``spread`` is any column that differs from row
-    to row; it only picks the salt.
+    With ``broadcast`` (see ``fits_broadcast``) the rows are not shuffled.  Else they are, by key: rows
+    without one join under their own id, which spreads them, and the partition of a hot key is one that
+    Spark splits at run time, as a left join lets it split its left side.
     """
     name, *values = dimension.columns
     side = dimension.where(F.col(name).isNotNull()).withColumnRenamed(name, "_lookup_key")
     keyed = rows.withColumn("_row_key", key)
-    if broadcast:
-        joined = keyed.join(F.broadcast(side), F.col("_row_key") == F.col("_lookup_key"), "left")
-        return joined.select(*rows.columns, *values)
-    salted = keyed.withColumn("_row_salt", F.pmod(F.xxhash64(spread), F.lit(_SALTS)).cast("int"))
-    copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    match = (F.col("_row_key") == F.col("_lookup_key")) & (F.col("_row_salt") == F.col("_salt"))
-    return salted.join(copies, match, "left").select(*rows.columns, *values)
+    match = F.coalesce(F.col("_row_key"), F.col(row_id)) == F.col("_lookup_key")
+    joined = keyed.join(F.broadcast(side) if broadcast else side, match & F.col("_row_key").isNotNull(), "left")
+    return joined.select(*rows.columns, *values)

@@ -52,7 +52,7 @@ def translate_payload(
             code = f"_code_{number}"
             labels = dimension.where(F.col("option_set") == option_set).select("label", F.col("code").alias(code))
             label = _text(F.try_element_at("_patch", F.lit(field)))
-            rows = left_lookup(rows, labels, label, F.col(UNIFIED_ID), broadcast)
+            rows = left_lookup(rows, labels, label, UNIFIED_ID, broadcast)
             codes[field] = F.col(code)
 
     def translated(key: Column, value: Column) -> Column:

@@ -8,16 +8,17 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twinsync import schemas
 from twinsync.functions import keys, text, times
 from twinsync.operators import deltas, history, match, outbox, snapshot, state, translate, upsert
 from twinsync.plans.inputs import (
-    AS_OF_1, AS_OF_2, DEFAULT_START, FIRST_CUT, LOAD_TS, LOOKUPS, OPTION_SETS, SINCE, table, view,
+    AS_OF_1, AS_OF_2, DEFAULT_START, FIRST_CUT, LOAD_TS, LOOKUPS, OPTION_SETS, SINCE, landed_text, table, view,
 )
-from twinsync.plans.pipeline import sync_view
+from twinsync.plans import pipeline
 from twinsync.rules import SYSTEM_A, SYSTEM_B, UNIFIED_ID, System
 from twinsync.session import work_folder
 from twinsync.sources import landing
-from twinsync.sources.tables import Tables, write_by_date
+from twinsync.sources.tables import Tables
 from twinsync.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,10 +58,10 @@ def _unified(spark, sf_dir, before=None) -> DataFrame:
 
 
 def _history(spark, sf_dir) -> DataFrame:
-    """History after its first run."""
-    from twinsync import schemas
-
-    return history.scd2_apply(_unified(spark, sf_dir, FIRST_CUT), schemas.empty(spark, schemas.HISTORY), AS_OF_1)
+    """History after its first run, stored as a table as any history is."""
+    first = history.scd2_apply(_unified(spark, sf_dir, FIRST_CUT), schemas.empty(spark, schemas.HISTORY), AS_OF_1)
+    tables = Tables(spark, work_folder(spark, "history"))
+    return tables.append("silver/history", first, run_id=1, partition_by=["is_current"])
 
 
 def _outbox(spark, sf_dir, target: System) -> DataFrame:
@@ -96,7 +97,8 @@ def ingest_b(spark, sf_dir):
 
 @query
 def ingest_dead_letter(spark, sf_dir):
-    return landing.reject_letters(_parsed(spark, sf_dir, SYSTEM_A), SYSTEM_A, LOAD_TS)
+    batch = landing.sort_out(_parsed(spark, sf_dir, SYSTEM_A), SYSTEM_A)
+    return landing.rejected_letters(batch, SYSTEM_A, LOAD_TS)
 
 
 @query
@@ -137,7 +139,8 @@ def upsert_by_key(spark, sf_dir):
 @query
 def partitioned_write_read(spark, sf_dir):
     tables = Tables(spark, work_folder(spark, "partitioned"))
-    written = write_by_date(tables, "bronze/events", table(spark, sf_dir, "events"), "ts", run_id=1)
+    events = table(spark, sf_dir, "events").withColumn("load_date", F.to_date("ts"))
+    written = tables.append("bronze/events", events, run_id=1, partition_by=["load_date"])
     return written.where(F.col("load_date") >= F.lit(date(2024, 1, 10)))
 
 
@@ -353,7 +356,7 @@ def redact_documents(spark, sf_dir):
 
 @query
 def sync_flagship(spark, sf_dir):
-    return sync_view(_matched(spark, sf_dir))
+    return pipeline.sync_view(_matched(spark, sf_dir))
 
 
 @query
@@ -372,3 +375,21 @@ def stream_snapshot(spark, sf_dir):
     return incremental.stream_snapshot(
         Tables(spark, f"{folder}/tables"), f"{folder}/landing", f"{folder}/checkpoint", SYSTEM_A, LOAD_TS
     )
+
+
+@query
+def sync_pipeline(spark, sf_dir):
+    """Two runs of the whole job over landed text of both systems, then results; the history they leave.
+
+    The first run takes in what was modified before the first cut, the second all of it.
+    """
+    tables = Tables(spark, work_folder(spark, "pipeline"))
+    sides = [_changes(spark, sf_dir, s) for s in (SYSTEM_A, SYSTEM_B)]
+    first = [side.where(F.col(s.modified) < times.at(FIRST_CUT)) for side, s in zip(sides, (SYSTEM_A, SYSTEM_B))]
+    for run_id, changes, as_of in ((1, first, AS_OF_1), (2, sides, AS_OF_2)):
+        landed = [landed_text(side, s) for side, s in zip(changes, (SYSTEM_A, SYSTEM_B))]
+        pipeline.sync_run(tables, *landed, run_id=run_id, as_of=as_of)
+    for run_id, system in ((3, SYSTEM_A), (4, SYSTEM_B)):
+        results = view(spark, sf_dir, f"push_results_{system.name}")
+        pipeline.take_results(tables, results, system, run_id, AS_OF_2)
+    return pipeline.full_history(tables)

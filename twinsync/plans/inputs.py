@@ -10,6 +10,10 @@ import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from twinsync.functions.times import format_iso
+from twinsync.rules import System
 
 AS_OF_1 = datetime(1998, 7, 1)
 AS_OF_2 = datetime(2001, 9, 1)
@@ -135,6 +139,16 @@ VIEWS = {
 }
 
 
+def landed_text(changes: DataFrame, system: System) -> DataFrame:
+    """Change rows as the JSON text that the system would land; attributes without a value are absent."""
+    body = [format_iso(F.col(system.modified)).alias("modified"), *system.attributes]
+    if system.nested:
+        record = F.struct(F.col(system.id).alias("id"), F.struct(*body).alias(system.nested))
+    else:
+        record = F.struct(F.col(system.id).alias("id"), *body)
+    return changes.select(F.to_json(record).alias("raw"))
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """An input view over the Parquet tables of a folder."""
     text = re.sub(r"@(\w+)\b(?=\s|$)", lambda m: f"parquet.`{sf_dir}/{m.group(1)}.parquet`", VIEWS[name])

@@ -9,8 +9,6 @@ import re
 
 from twinsync.plans.inputs import VIEWS, view_sql
 
-_LATEST_A = "row_number() over (partition by a_id order by a_modified desc nulls last, a_version desc)"
-_LATEST_B = "row_number() over (partition by b_id order by b_modified desc nulls last, b_version desc)"
 _COLS_A = "a_id, a_modified, email, firstname, lastname, phone, mobilephone, jobtitle, company"
 _COLS_B = "b_id, b_modified, emailaddress1, firstname, lastname, telephone1, mobilephone, jobtitle, company"
 _FIELDS = ("email", "firstname", "lastname", "phone", "mobilephone", "jobtitle", "company")
@@ -26,8 +24,10 @@ def _email(column: str) -> str:
     return f"case when contains({text}, '@') then {text} end"
 
 
-def _snapshot(source: str, columns: str, rank: str, where: str = "true") -> str:
-    return f"select {columns} from (select *, {rank} as rn from {source} where {where}) where rn = 1"
+def _snapshot(system: str, columns: str, ties: str, where: str) -> str:
+    rank = f"""row_number() over (partition by {system}_id
+        order by {system}_modified desc nulls last, {ties.replace(",", " desc nulls last,")} desc nulls last)"""
+    return f"select {columns} from (select *, {rank} as rn from src_{system} where {where}) where rn = 1"
 
 
 def _keys(snap: str, email: str, id_: str, modified: str) -> str:
@@ -139,32 +139,55 @@ _BINDS = "field = 'company' and length(value) >= 32"
 _BOUND_KEY = f"case when {_BINDS} then field || '@odata.bind' else field end"
 _BOUND_VALUE = f"case when {_BINDS} then '/accounts(' || value || ')' else value end"
 
+def _matching(prefix: str, ties_a: str, ties_b: str, until: str | None = None) -> dict[str, str]:
+    """Snapshots up to unified records, of all changes or of those up to a day."""
+    where = "cast({}_modified as date) <= date '" + until + "'" if until else "true"
+    return {
+        f"{prefix}snap_a": _snapshot("a", _COLS_A, ties_a, where.format("a")),
+        f"{prefix}snap_b": _snapshot("b", _COLS_B, ties_b, where.format("b")),
+        f"{prefix}keys_a": _keys(f"{prefix}snap_a", "email", "a_id", "a_modified"),
+        f"{prefix}keys_b": _keys(f"{prefix}snap_b", "emailaddress1", "b_id", "b_modified"),
+        f"{prefix}crosswalk": _crosswalk(f"{prefix}keys_a", f"{prefix}keys_b"),
+        f"{prefix}unified": _unified(f"{prefix}crosswalk", f"{prefix}snap_a", f"{prefix}snap_b"),
+    }
+
+
+def _two_dates(prefix: str) -> dict[str, str]:
+    """History of the unified records of the first date, and what the second changes in it."""
+    return {
+        f"{prefix}history": f"""
+            select *, {_T1} as valid_from, {_NO_TIME} as valid_to, true as is_current, {_CHECKSUM} as checksum
+            from {prefix}old_unified""",
+        f"{prefix}current": f"select *, {_CHECKSUM} as checksum from {prefix}unified",
+        f"{prefix}changes": f"""
+            select c.*, {_T2} as valid_from, {_NO_TIME} as valid_to, true as is_current
+            from {prefix}current c left join {prefix}history h on c.unified_contact_id = h.unified_contact_id
+            where h.checksum is null or h.checksum <> c.checksum""",
+        f"{prefix}closed": f"""
+            select * replace ({_T2} as valid_to, false as is_current) from {prefix}history
+            where unified_contact_id in (select unified_contact_id from {prefix}changes)""",
+        f"{prefix}untouched": f"""
+            select * from {prefix}history
+            where unified_contact_id not in (select unified_contact_id from {prefix}changes)""",
+    }
+
+
+def _whole_history(prefix: str) -> str:
+    parts = (f"select {_HISTORY} from {prefix}{part}" for part in ("changes", "closed", "untouched"))
+    return " union all ".join(parts)
+
+
+_TIES_A = _COLS_A.removeprefix("a_id, a_modified, ")
+_TIES_B = _COLS_B.removeprefix("b_id, b_modified, ")
+
 # Intermediate results; a query pulls in those it names.
 STEPS = {
-    "snap_a": _snapshot("src_a", _COLS_A, _LATEST_A),
-    "snap_b": _snapshot("src_b", _COLS_B, _LATEST_B),
-    "keys_a": _keys("snap_a", "email", "a_id", "a_modified"),
-    "keys_b": _keys("snap_b", "emailaddress1", "b_id", "b_modified"),
-    "crosswalk": _crosswalk("keys_a", "keys_b"),
-    "unified": _unified("crosswalk", "snap_a", "snap_b"),
-    "old_snap_a": _snapshot("src_a", _COLS_A, _LATEST_A, "cast(a_modified as date) <= date '1998-06-30'"),
-    "old_snap_b": _snapshot("src_b", _COLS_B, _LATEST_B, "cast(b_modified as date) <= date '1998-06-30'"),
-    "old_keys_a": _keys("old_snap_a", "email", "a_id", "a_modified"),
-    "old_keys_b": _keys("old_snap_b", "emailaddress1", "b_id", "b_modified"),
-    "old_crosswalk": _crosswalk("old_keys_a", "old_keys_b"),
-    "old_unified": _unified("old_crosswalk", "old_snap_a", "old_snap_b"),
-    "history": f"""
-        select *, {_T1} as valid_from, {_NO_TIME} as valid_to, true as is_current, {_CHECKSUM} as checksum
-        from old_unified""",
-    "current": f"select *, {_CHECKSUM} as checksum from unified",
-    "changes": f"""
-        select c.*, {_T2} as valid_from, {_NO_TIME} as valid_to, true as is_current
-        from current c left join history h on c.unified_contact_id = h.unified_contact_id
-        where h.checksum is null or h.checksum <> c.checksum""",
-    "closed": f"""
-        select * replace ({_T2} as valid_to, false as is_current) from history
-        where unified_contact_id in (select unified_contact_id from changes)""",
-    "untouched": "select * from history where unified_contact_id not in (select unified_contact_id from changes)",
+    **_matching("", "a_version", "b_version"),
+    **_matching("old_", "a_version", "b_version", until="1998-06-30"),
+    **_two_dates(""),
+    **_matching("run_", _TIES_A, _TIES_B),
+    **_matching("run_old_", _TIES_A, _TIES_B, until="1998-06-30"),
+    **_two_dates("run_"),
     "deltas_a": _deltas("a", [
         ("email", "emailaddress1", "overwrite"), ("firstname", "firstname", "fill"),
         ("lastname", "lastname", "fill"), ("phone", "telephone1", "overwrite"),
@@ -246,9 +269,8 @@ QUERIES = {
     "scd2_changes": f"select {_HISTORY} from changes",
     "scd2_close": f"select {_HISTORY} from closed",
     "scd2_untouched": f"select {_HISTORY} from untouched",
-    "scd2_apply": f"""
-        select {_HISTORY} from changes union all select {_HISTORY} from closed
-        union all select {_HISTORY} from untouched""",
+    "scd2_apply": _whole_history(""),
+    "sync_pipeline": _whole_history("run_"),
     "field_deltas_long_a": "select unified_contact_id, a_id, field, value from deltas_a",
     "field_deltas_long_b": "select unified_contact_id, b_id, field, value from deltas_b",
     "outbox_a": "select * from outbox_a",

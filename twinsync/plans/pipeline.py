@@ -18,7 +18,7 @@ from twinsync.functions.payloads import to_patch
 from twinsync.operators import deltas, history, match, outbox, snapshot, state
 from twinsync.rules import CONTACT_RULES, SYSTEM_A, SYSTEM_B, UNIFIED_ID, FieldRule, System
 from twinsync.sources import landing
-from twinsync.sources.tables import Tables, write_by_date
+from twinsync.sources.tables import Tables
 
 ENTITY = "contacts"
 _BY_SYSTEM = ("system", "entity")
@@ -41,20 +41,20 @@ def sync_view(matched: DataFrame, rules: Sequence[FieldRule] = CONTACT_RULES) ->
 def ingest(
     tables: Tables, landed: DataFrame, system: System, run_id: int, as_of: datetime, default: datetime | None
 ) -> DataFrame:
-    """Landed text to bronze rows.  The position moves last, and only if rows came in."""
-    step = f"ingest_{system.name}"
+    """Landed text to bronze rows.  The text is read once; the position moves last, and only if rows came in."""
+    spark, step = tables.spark, f"ingest_{system.name}"
     since = state.watermark_of(tables.log("meta/watermarks", before=run_id), ENTITY, system.name, default)
-    parsed = landing.parse_records(landed, system, as_of)
-    accepted = landing.accepted_records(parsed, system, since)
-    written = write_by_date(tables, f"bronze/{system.name}_raw", accepted, "load_ts", run_id)
-
-    tables.append("meta/dead_letter", landing.reject_letters(parsed, system, as_of), run_id, step, _BY_SYSTEM)
-
-    counted = landing.high_water(written, system.modified)
-    tables.append("meta/audit_log", state.audit_ingest(counted, system, as_of, since), run_id, step, _BY_SYSTEM)
-    newest = counted.first()["high_water"]
-    if newest is not None:
-        moved = state.watermark_advance(tables.spark, ENTITY, system.name, newest, as_of)
+    batch = landing.sort_out(landing.parse_records(landed, system, as_of), system, since)
+    stored = tables.append(f"bronze/{system.name}_raw", batch, run_id, partition_by=("rejected", "load_date"))
+    tables.append("meta/dead_letter", landing.rejected_letters(stored, system, as_of), run_id, step, _BY_SYSTEM)
+
+    written = landing.kept(stored, system)
+    counts = landing.high_water(written, system.modified)
+    counted = counts.first()
+    one_row = spark.createDataFrame([counted], counts.schema)
+    tables.append("meta/audit_log", state.audit_ingest(one_row, system, as_of, since), run_id, step, _BY_SYSTEM)
+    if counted["high_water"] is not None:
+        moved = state.watermark_advance(spark, ENTITY, system.name, counted["high_water"], as_of)
         tables.append("meta/watermarks", moved, run_id, step, ("entity",))
     return written
 
@@ -67,21 +67,25 @@ def refresh_snapshot(tables: Tables, written: DataFrame, system: System, run_id:
 
 
 def refresh_history(tables: Tables, unified: DataFrame, run_id: int, as_of: datetime, close_missing: bool = False) -> None:
-    """Appends the versions that closed and rewrites the open ones.
+    """Rewrites the open versions and adds those that closed; versions closed before are not read.
 
-    The step is written once and split by a filter, so its join runs once.
+    Both come from one join, stored by ``is_current``: the open part of the newest step is the state,
+    the closed parts of all steps are the log.
     """
-    opened = tables.state("silver/history_open", before=run_id)
-    after = tables.replace(
-        "silver/history_step", history.scd2_step(unified, opened, as_of, close_missing=close_missing), run_id
-    )
-    tables.append("silver/history_closed", after.where(~F.col("is_current")), run_id)
-    tables.replace("silver/history_open", after.where(F.col("is_current")), run_id)
+    opened = open_history(tables, before=run_id)
+    step = history.scd2_step(unified, opened, as_of, close_missing=close_missing)
+    tables.append("silver/history", step, run_id, partition_by=("is_current",))
+
+
+def open_history(tables: Tables, before: int | None = None) -> DataFrame:
+    """The open versions."""
+    return tables.log("silver/history", before, newest=True).where(F.col("is_current"))
 
 
 def full_history(tables: Tables) -> DataFrame:
     """Closed and open versions."""
-    return tables.log("silver/history_closed").unionByName(tables.state("silver/history_open"))
+    closed = tables.log("silver/history").where(~F.col("is_current"))
+    return closed.unionByName(open_history(tables))
 
 
 def sync_run(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinsync.rules import SYSTEM_A, SYSTEM_B, UNIFIED_FIELDS, UNIFIED_ID, System
@@ -20,6 +21,13 @@ def bronze(system: System) -> T.StructType:
     return _schema(("load_ts", _TIME), (system.id, _STR), (system.modified, _TIME), *((c, _STR) for c in texts))
 
 
+def landed(system: System) -> T.StructType:
+    """Bronze rows as stored: rows that cannot be kept lie beside the others, in a folder of their own."""
+    return T.StructType([
+        *bronze(system).fields, *_schema(("reject_reason", _STR), ("rejected", _BOOL), ("load_date", T.DateType())).fields
+    ])
+
+
 def snapshot(system: System) -> T.StructType:
     return _schema((system.id, _STR), (system.modified, _TIME), *((c, _STR) for c in system.attributes))
 
@@ -52,15 +60,14 @@ DEAD_LETTER = _schema(
 
 # Layer and schema of each table.
 TABLES = {
-    "bronze/a_raw": bronze(SYSTEM_A),
-    "bronze/b_raw": bronze(SYSTEM_B),
+    "bronze/a_raw": landed(SYSTEM_A),
+    "bronze/b_raw": landed(SYSTEM_B),
     "silver/a_snapshot": snapshot(SYSTEM_A),
     "silver/b_snapshot": snapshot(SYSTEM_B),
     "silver/matched": MATCHED,
     "silver/crosswalk": CROSSWALK,
     "silver/unified": UNIFIED,
-    "silver/history_open": HISTORY,
-    "silver/history_closed": HISTORY,
+    "silver/history": HISTORY,
     "gold/a_outbox": outbox(SYSTEM_A),
     "gold/b_outbox": outbox(SYSTEM_B),
     "meta/watermarks": WATERMARKS,
@@ -70,5 +77,6 @@ TABLES = {
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """The state of a table before its first write."""
-    return spark.createDataFrame([], schema)
+    """The state of a table before its first write.  Spark knows that it has no rows, and skips joins with it."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).where(F.lit(False)).select(*columns)

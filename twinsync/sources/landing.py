@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from twinsync import schemas
 from twinsync.functions.times import at, parse_iso
 from twinsync.operators.snapshot import first_per_key
 from twinsync.operators.state import dead_letters
@@ -24,19 +25,29 @@ def _record_type(system: System) -> T.StructType:
     return T.StructType([*identity, *fields])
 
 
+def _once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """Adds a costly column that later filters read but do not repeat.
+
+    Spark moves a filter below a projection and writes the projection's expressions out in it; for JSON
+    that is one parse per mention.  It does not do so below a generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def parse_records(landed: DataFrame, system: System, load_ts: datetime) -> DataFrame:
     """One bronze row per JSON text in column ``raw``; ``modified_text`` keeps the time as written.
 
     Each text is parsed once, in the scan's own stage.  A text that is no JSON gives null columns.
     """
-    record = landed.select("raw", F.from_json("raw", _record_type(system)).alias("record"))
+    record = _once(landed.select("raw"), F.from_json("raw", _record_type(system)), "record")
     body = f"record.{system.nested}" if system.nested else "record"
     texts = [F.col(f"{body}.{c}").alias(c) for c in (*system.attributes, *system.bronze_only)]
     modified = F.col(f"{body}.{MODIFIED_KEY}")
+    record = _once(record, parse_iso(modified), "modified_ts")
     return record.select(
         at(load_ts).alias("load_ts"),
         F.col("record.id").alias(system.id),
-        parse_iso(modified).alias(system.modified),
+        F.col("modified_ts").alias(system.modified),
         *texts,
         "raw",
         modified.alias("modified_text"),
@@ -65,27 +76,43 @@ def high_water(rows: DataFrame, modified: str) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("records"), F.max(modified).alias("high_water"))
 
 
-def accepted_records(parsed: DataFrame, system: System, since: datetime | None = None) -> DataFrame:
-    """The bronze rows of a landed batch."""
-    kept = parsed.where(reject_reason(system).isNull()).drop("modified_text")
-    return modified_since(kept, system.modified, since)
+def sort_out(parsed: DataFrame, system: System, since: datetime | None = None) -> DataFrame:
+    """The rows of a landed batch as stored (``schemas.landed``): those to keep, and those rejected."""
+    marked = parsed.withColumns({
+        "reject_reason": reject_reason(system),
+        "rejected": reject_reason(system).isNotNull(),
+        "load_date": F.to_date("load_ts"),
+    })
+    if since is not None:
+        marked = marked.where(F.col("rejected") | (F.col(system.modified) >= at(since)))
+    return marked.select(*schemas.landed(system).names)
 
 
-def reject_letters(parsed: DataFrame, system: System, as_of: datetime) -> DataFrame:
-    """Dead letters for the rows of a landed batch that cannot be kept, with the text as landed."""
-    rejected = parsed.where(reject_reason(system).isNotNull())
-    return dead_letters(rejected, system.name, as_of, F.col(system.id), reject_reason(system), F.col("raw"))
+def kept(stored: DataFrame, system: System) -> DataFrame:
+    """The bronze rows among stored ones; reads no folder of rejected rows."""
+    return stored.where(~F.col("rejected")).select(*schemas.bronze(system).names)
+
+
+def rejected_letters(stored: DataFrame, system: System, as_of: datetime) -> DataFrame:
+    """Dead letters for the rejected ones among stored rows, with the text as landed."""
+    lost = stored.where(F.col("rejected"))
+    return dead_letters(lost, system.name, as_of, F.col(system.id), F.col("reject_reason"), F.col("raw"))
+
+
+def accepted_records(parsed: DataFrame, system: System, since: datetime | None = None) -> DataFrame:
+    """The bronze rows of a landed batch, without a table between."""
+    return kept(sort_out(parsed, system, since), system)
 
 
 def batch_counts(parsed: DataFrame, system: System) -> DataFrame:
     """Landed, accepted and rejected rows of a batch and its newest time, in one pass."""
-    kept = reject_reason(system).isNull()
+    good = reject_reason(system).isNull()
     return parsed.agg(
         F.lit(system.name).alias("system"),
         F.count(F.lit(1)).alias("landed"),
-        F.count_if(kept).alias("accepted"),
-        F.count_if(~kept).alias("rejected"),
-        F.max(F.when(kept, F.col(system.modified))).alias("high_water"),
+        F.count_if(good).alias("accepted"),
+        F.count_if(~good).alias("rejected"),
+        F.max(F.when(good, F.col(system.modified))).alias("high_water"),
     )
 
 

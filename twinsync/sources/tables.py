@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinsync import schemas
@@ -47,19 +46,22 @@ class Tables:
         out.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
         return self.spark.read.schema(rows.schema).parquet(target)
 
-    def log(self, name: str, before: int | None = None) -> DataFrame:
-        """All committed rows of a log, or those of the runs before the given one."""
+    def log(self, name: str, before: int | None = None, newest: bool = False) -> DataFrame:
+        """All committed rows of a log, or of the runs before the given one, or of the newest of those."""
         schema = self.schemas[name]
         folders = [f for f in self._committed(f"{self.root}/{name}/run_id=*/step=*") if before is None or _run(f) < before]
+        if newest and folders:
+            last = max(map(_run, folders))
+            folders = [f for f in folders if _run(f) == last]
         if not folders:
             return schemas.empty(self.spark, schema)
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}")
         return reader.parquet(*folders).select(*schema.names)
 
-    def replace(self, name: str, rows: DataFrame, run_id: int) -> DataFrame:
+    def replace(self, name: str, rows: DataFrame, run_id: int, partition_by: Sequence[str] = ()) -> DataFrame:
         """Writes a run's version of a state and returns it."""
         target = f"{self.root}/{name}/version={run_id}"
-        rows.write.mode("overwrite").parquet(target)
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
         return self.spark.read.schema(rows.schema).parquet(target)
 
     def state(self, name: str, before: int | None = None) -> DataFrame:
@@ -75,7 +77,3 @@ def _run(folder: str) -> int:
     parts = [p.partition("=")[2] for p in folder.split("/") if p.startswith(("run_id=", "version="))]
     return int(parts[-1])
 
-
-def write_by_date(tables: Tables, name: str, rows: DataFrame, time: str, run_id: int) -> DataFrame:
-    """Appends rows under the date of a time column, so that a date filter reads only its folders."""
-    return tables.append(name, rows.withColumn("load_date", F.to_date(time)), run_id, partition_by=["load_date"])

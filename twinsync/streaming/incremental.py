@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from twinsync.operators.snapshot import snapshot
 from twinsync.rules import System
 from twinsync.sources import landing
-from twinsync.sources.tables import Tables, write_by_date
+from twinsync.sources.tables import Tables
 
 
 def _landed(spark: SparkSession, landing_dir: str, files_per_batch: int | None) -> DataFrame:
@@ -41,13 +41,13 @@ def stream_ingest(
     name = f"bronze/{system.name}_raw"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed = landing.parse_records(batch, system, load_ts)
-        write_by_date(tables, name, landing.accepted_records(parsed, system), "load_ts", batch_id)
-        letters = landing.reject_letters(parsed, system, load_ts)
+        rows = landing.sort_out(landing.parse_records(batch, system, load_ts), system)
+        stored = tables.append(name, rows, batch_id, partition_by=("rejected", "load_date"))
+        letters = landing.rejected_letters(stored, system, load_ts)
         tables.append("meta/dead_letter", letters, batch_id, f"stream_{system.name}", ("system", "entity"))
 
     _run_available(_landed(tables.spark, landing_dir, files_per_batch), checkpoint, write_batch)
-    return tables.log(name)
+    return landing.kept(tables.log(name), system)
 
 
 def stream_snapshot(
