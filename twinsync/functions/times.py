@@ -11,8 +11,11 @@ _EPOCH = datetime(1970, 1, 1)
 
 
 def at(time: datetime | None) -> Column:
-    """A fixed processing time, so that a rerun gives the same rows."""
-    return F.lit(time).cast("timestamp_ntz")
+    """A fixed wall-clock time, so that a rerun gives the same rows.
+
+    Written as text: a literal from a Python time would pass through the zones of Python and session.
+    """
+    return F.lit(None if time is None else time.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def parse_iso(text: Column) -> Column:
@@ -26,7 +29,7 @@ def parse_iso(text: Column) -> Column:
         .otherwise(F.concat(text, F.lit("Z")))
     )
     micros = F.unix_micros(F.try_to_timestamp(stamped))
-    return F.lit(_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(
+    return at(_EPOCH) + F.make_dt_interval(
         secs=(micros.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
     )
 
@@ -40,5 +43,5 @@ def format_iso(time: Column) -> Column:
 
 def request_id(kind: str, time: Column) -> Column:
     """``<kind>-<seconds since 1970>``."""
-    seconds = F.timestamp_diff("SECOND", F.lit(_EPOCH).cast("timestamp_ntz"), time)
+    seconds = F.timestamp_diff("SECOND", at(_EPOCH), time)
     return F.concat(F.lit(f"{kind}-"), seconds.cast("string"))

@@ -31,7 +31,13 @@ def watermark_of(watermarks: DataFrame, entity: str, source: str, default: datet
 
 def watermark_advance(spark: SparkSession, entity: str, source: str, watermark_ts: datetime, as_of: datetime) -> DataFrame:
     """The row that moves a position."""
-    return spark.createDataFrame([(entity, source, watermark_ts, as_of)], schemas.WATERMARKS)
+    values = [F.lit(entity), F.lit(source), at(watermark_ts), at(as_of)]
+    return one_row(spark, **dict(zip(schemas.WATERMARKS.names, values)))
+
+
+def one_row(spark: SparkSession, **columns: Column) -> DataFrame:
+    """A single row of driver values."""
+    return spark.range(0, 1, 1, 1).select(*(column.alias(name) for name, column in columns.items()))
 
 
 def audit_rows(

@@ -7,14 +7,17 @@ rows, and history rewrites its open versions only.  Run ids must grow; a repeate
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinsync.functions.keys import row_checksum
 from twinsync.functions.payloads import to_patch
+from twinsync.functions.times import at
 from twinsync.operators import deltas, history, match, outbox, snapshot, state
 from twinsync.rules import CONTACT_RULES, SYSTEM_A, SYSTEM_B, UNIFIED_ID, FieldRule, System
 from twinsync.sources import landing
@@ -49,12 +52,11 @@ def ingest(
     tables.append("meta/dead_letter", landing.rejected_letters(stored, system, as_of), run_id, step, _BY_SYSTEM)
 
     written = landing.kept(stored, system)
-    counts = landing.high_water(written, system.modified)
-    counted = counts.first()
-    one_row = spark.createDataFrame([counted], counts.schema)
-    tables.append("meta/audit_log", state.audit_ingest(one_row, system, as_of, since), run_id, step, _BY_SYSTEM)
-    if counted["high_water"] is not None:
-        moved = state.watermark_advance(spark, ENTITY, system.name, counted["high_water"], as_of)
+    records, newest = landing.high_water(written, system.modified).first()
+    counted = state.one_row(spark, records=F.lit(records), high_water=at(newest))
+    tables.append("meta/audit_log", state.audit_ingest(counted, system, as_of, since), run_id, step, _BY_SYSTEM)
+    if newest is not None:
+        moved = state.watermark_advance(spark, ENTITY, system.name, newest, as_of)
         tables.append("meta/watermarks", moved, run_id, step, ("entity",))
     return written
 
@@ -99,19 +101,35 @@ def sync_run(
     keep_unkeyed: bool = False,
 ) -> None:
     """One run, from landed records of both systems to fresh outboxes."""
-    snapshots = []
-    for system, landed in ((SYSTEM_A, landed_a), (SYSTEM_B, landed_b)):
+
+    def load(system: System, landed: DataFrame) -> DataFrame:
         written = ingest(tables, landed, system, run_id, as_of, default_start)
-        snapshots.append(refresh_snapshot(tables, written, system, run_id))
+        return refresh_snapshot(tables, written, system, run_id)
 
+    snapshots = _together(lambda: load(SYSTEM_A, landed_a), lambda: load(SYSTEM_B, landed_b))
     matched = tables.replace("silver/matched", match.match_records(*snapshots, keep_unkeyed=keep_unkeyed), run_id)
-    tables.replace("silver/crosswalk", match.crosswalk(matched), run_id)
-    unified = tables.replace("silver/unified", match.unify(matched, rules), run_id)
-    refresh_history(tables, unified, run_id, as_of)
-    for target in (SYSTEM_A, SYSTEM_B):
+
+    def keep_history() -> None:
+        unified = tables.replace("silver/unified", match.unify(matched, rules), run_id)
+        refresh_history(tables, unified, run_id, as_of)
+
+    def stage(target: System) -> None:
         patches = deltas.build_outbox(deltas.field_deltas(matched, target, rules), target)
         tables.replace(f"gold/{target.name}_outbox", patches, run_id)
 
+    _together(
+        lambda: tables.replace("silver/crosswalk", match.crosswalk(matched), run_id),
+        keep_history,
+        lambda: stage(SYSTEM_A),
+        lambda: stage(SYSTEM_B),
+    )
+
+
+def _together(*steps: Callable[[], Any]) -> list[Any]:
+    """Independent steps at the same time, so that one's last tasks do not idle the cluster."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [running.result() for running in [pool.submit(step) for step in steps]]
+
 
 def next_push(tables: Tables, target: System, size: int | None = outbox.BATCH_ROWS) -> outbox.Batch:
     """What to send next."""
@@ -123,9 +141,10 @@ def take_results(tables: Tables, results: DataFrame, target: System, run_id: int
     step = f"push_{target.name}"
     name = f"gold/{target.name}_outbox"
     before = tables.state(name, before=run_id)
-    pushed = outbox.outcomes(before, results, target)
+    pushed = outbox.outcomes(before, results, target).persist()
     lost = outbox.undeliverable(outbox.pending(before), target)
     letters = state.undeliverable_letters(lost, target, as_of).unionByName(state.failed_letters(pushed, target, as_of))
     tables.append("meta/dead_letter", letters, run_id, step, _BY_SYSTEM)
     tables.append("meta/audit_log", state.audit_pushed_records(pushed, target, as_of), run_id, step, _BY_SYSTEM)
+    pushed.unpersist()
     return tables.replace(name, outbox.apply_results(before, results, target, as_of), run_id)
