@@ -181,6 +181,17 @@ def test_streams_take_new_files_only_and_equal_the_batch(spark, tables, tmp_path
     assert tables.log("meta/dead_letter").count() == 1
     again = incremental.stream_ingest(tables, folder, checkpoint + "/b", SYSTEM_A, day(9))
     assert again.count() == bronze.count()
+    anew = incremental.stream_ingest(tables, folder, checkpoint + "/new", SYSTEM_A, day(9))
+    assert anew.count() == 2 * bronze.count()  # nothing is lost; the snapshot takes in doubles
+    assert incremental.stream_snapshot(tables, folder, checkpoint + "/new-s", SYSTEM_A, day(9)).count() == 2
+
+
+def test_many_values_are_rebalanced(spark, tables):
+    """Two thirds of the rows share a date; still one file or few per date, and no row is lost."""
+    rows = spark.range(0, 3000, 1, 16).select("id", F.expr("date_add(date'2024-01-01', if(id % 3 = 0, int(id % 20), 0))").alias("load_date"))
+    written = tables.append("bronze/x", rows, 1, partition_by=["load_date"], many_values=True)
+    assert written.count() == 3000
+    assert len(written.inputFiles()) <= 4 * 20
 
 
 def test_partitions_are_pruned(spark, tables):

@@ -140,7 +140,7 @@ def upsert_by_key(spark, sf_dir):
 def partitioned_write_read(spark, sf_dir):
     tables = Tables(spark, work_folder(spark, "partitioned"))
     events = table(spark, sf_dir, "events").withColumn("load_date", F.to_date("ts"))
-    written = tables.append("bronze/events", events, run_id=1, partition_by=["load_date"])
+    written = tables.append("bronze/events", events, run_id=1, partition_by=["load_date"], many_values=True)
     return written.where(F.col("load_date") >= F.lit(date(2024, 1, 10)))
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from datetime import datetime
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -151,8 +152,16 @@ def landed_text(changes: DataFrame, system: System) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """An input view over the Parquet tables of a folder."""
-    text = re.sub(r"@(\w+)\b(?=\s|$)", lambda m: f"parquet.`{sf_dir}/{m.group(1)}.parquet`", VIEWS[name])
-    return spark.sql(text)
+    return spark.sql(re.sub(r"@(\w+)\b(?=\s|$)", lambda m: _named(spark, sf_dir, m.group(1)), VIEWS[name]))
+
+
+def _named(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The name of a given table in this session; its files are listed and its schema read once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = f"given_{name}_{crc32(path.encode()):08x}"
+    if not spark.catalog.tableExists(known):
+        spark.read.parquet(path).createOrReplaceTempView(known)
+    return known
 
 
 def view_sql(name: str) -> str:
@@ -161,4 +170,4 @@ def view_sql(name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.table(_named(spark, sf_dir, name))

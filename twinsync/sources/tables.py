@@ -34,15 +34,22 @@ class Tables:
         return [status.getPath().getParent().toString() for status in found or []]
 
     def append(
-        self, name: str, rows: DataFrame, run_id: int, step: str = "all", partition_by: Sequence[str] = ()
+        self,
+        name: str,
+        rows: DataFrame,
+        run_id: int,
+        step: str = "all",
+        partition_by: Sequence[str] = (),
+        many_values: bool = False,
     ) -> DataFrame:
         """Adds the rows of a run's step to a log and returns them as written.
 
-        One partition value may hold most of the rows: the rebalance hint lets Spark split such a
-        partition over tasks, and put small ones into one file.
+        Tasks write as they come, without a shuffle, into a folder per partition value.  Where one write
+        holds ``many_values``, that would be a file per task and value: then rows are rebalanced by value
+        first, and Spark splits the value that holds most of them over tasks.
         """
         target = f"{self.root}/{name}/run_id={run_id}/step={step}"
-        out = rows.hint("rebalance", *partition_by) if partition_by else rows
+        out = rows.hint("rebalance", *partition_by) if many_values else rows
         out.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
         return self.spark.read.schema(rows.schema).parquet(target)
 
@@ -58,10 +65,12 @@ class Tables:
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}")
         return reader.parquet(*folders).select(*schema.names)
 
-    def replace(self, name: str, rows: DataFrame, run_id: int, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Writes a run's version of a state and returns it."""
+    def replace(self, name: str, rows: DataFrame, run_id: int | None = None) -> DataFrame:
+        """Writes a run's version of a state, or just the next one, and returns it."""
+        if run_id is None:
+            run_id = max(map(_run, self._committed(f"{self.root}/{name}/version=*")), default=0) + 1
         target = f"{self.root}/{name}/version={run_id}"
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+        rows.write.mode("overwrite").parquet(target)
         return self.spark.read.schema(rows.schema).parquet(target)
 
     def state(self, name: str, before: int | None = None) -> DataFrame:

@@ -1,7 +1,9 @@
 """Ingest and snapshot upkeep as streams over landed files.
 
 The stream's checkpoint takes the place of the position table: each run picks up the files that came
-since.  A micro-batch writes under its own batch id, so one that is repeated replaces itself.
+since.  A micro-batch of ingest writes under the stream's own id and its batch id, so one that is repeated
+replaces itself, and a stream with a new checkpoint adds to what others wrote.  Snapshot upkeep may take
+in the same batch twice without harm.
 """
 
 from __future__ import annotations
@@ -24,6 +26,11 @@ def _landed(spark: SparkSession, landing_dir: str, files_per_batch: int | None)
     return reader.text(landing_dir).withColumnRenamed("value", "raw")
 
 
+def _stream_id(batch: DataFrame) -> str:
+    """The id that a stream keeps in its checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def _run_available(stream: DataFrame, checkpoint: str, write_batch) -> None:
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).start().awaitTermination()
@@ -42,9 +49,10 @@ def stream_ingest(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = landing.sort_out(landing.parse_records(batch, system, load_ts), system)
-        stored = tables.append(name, rows, batch_id, partition_by=("rejected", "load_date"))
+        step = f"stream_{_stream_id(batch)}"
+        stored = tables.append(name, rows, batch_id, step, ("rejected", "load_date"))
         letters = landing.rejected_letters(stored, system, load_ts)
-        tables.append("meta/dead_letter", letters, batch_id, f"stream_{system.name}", ("system", "entity"))
+        tables.append("meta/dead_letter", letters, batch_id, step, ("system", "entity"))
 
     _run_available(_landed(tables.spark, landing_dir, files_per_batch), checkpoint, write_batch)
     return landing.kept(tables.log(name), system)
@@ -68,8 +76,7 @@ def stream_snapshot(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = landing.parse_records(batch, system, load_ts)
         changes = landing.accepted_records(parsed, system).select(*system.snapshot_columns)
-        merged = tables.state(name, before=batch_id).unionByName(changes)
-        tables.replace(name, snapshot(merged, system), batch_id)
+        tables.replace(name, snapshot(tables.state(name).unionByName(changes), system))
 
     _run_available(_landed(tables.spark, landing_dir, files_per_batch), checkpoint, write_batch)
     return tables.state(name)
