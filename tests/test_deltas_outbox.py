@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 
 import pytest
 from conftest import a_rows, as_dicts, b_rows, day
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from twinsync import schemas
 from twinsync.operators import deltas, match, outbox, state
-from twinsync.rules import CONTACT_RULES, SYSTEM_A, SYSTEM_B, FieldRule
+from twinsync.rules import CONTACT_RULES, CONTACTS, SYSTEM_A, SYSTEM_B, FieldRule
 
 
 def updates(matched, target, **options):
@@ -67,19 +68,19 @@ def test_directions(spark):
 
 def test_rules_without_a_side_are_skipped(spark):
     matched = pair(spark, {"phone": "x"}, {"telephone1": "y"})
-    rules = [FieldRule("mobilephone", "mobilephone", None), FieldRule("phone", "phone", "telephone1")]
-    assert updates(matched, SYSTEM_A, rules=rules) == {("phone", "y")}
+    rules = (FieldRule("mobilephone", "mobilephone", None), FieldRule("phone", "phone", "telephone1"))
+    assert updates(matched, SYSTEM_A, entity=replace(CONTACTS, rules=rules)) == {("phone", "y")}
     with pytest.raises(ValueError):
-        deltas.updates_for(SYSTEM_A, rules[:1])
+        deltas.updates_for(SYSTEM_A, entity=replace(CONTACTS, rules=rules[:1]))
     with pytest.raises(ValueError):
         deltas.updates_for(SYSTEM_A, conflict="oldest")
 
 
 def test_fills_settle(spark):
     """Values filled on one side leave nothing to fill."""
-    fills = [r for r in CONTACT_RULES if r.strategy == "fill_if_missing"]
+    fills = replace(CONTACTS, rules=tuple(r for r in CONTACT_RULES if r.strategy == "fill_if_missing"))
     after = pair(spark, {"firstname": "y", "lastname": "l"}, {"firstname": "y", "lastname": "l"})
-    assert updates(after, SYSTEM_A, rules=fills) == set()
+    assert updates(after, SYSTEM_A, entity=fills) == set()
 
 
 def test_outbox_rows(spark):

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from twinsync import schemas
 from twinsync.operators import history
-from twinsync.rules import UNIFIED_FIELDS
+from twinsync.rules import CONTACTS
 
 
 def current(spark, **names):
-    rows = [(key, *([value] + [None] * (len(UNIFIED_FIELDS) - 1))) for key, value in names.items()]
+    rows = [(key, *([value] + [None] * (len(CONTACTS.fields) - 1))) for key, value in names.items()]
     return spark.createDataFrame(rows, schemas.UNIFIED)
 
 

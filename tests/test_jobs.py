@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from twinsync import schemas
 from twinsync.operators import state
 from twinsync.plans import pipeline
-from twinsync.rules import SYSTEM_A, SYSTEM_B
+from twinsync.rules import SYSTEM_A, SYSTEM_B, Entity, FieldRule, System
 from twinsync.session import work_folder
 from twinsync.sources import landing
 from twinsync.sources.tables import Tables
@@ -201,3 +201,19 @@ def test_partitions_are_pruned(spark, tables):
     plan = landing.kept(stored, SYSTEM_A)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(rejected" in plan
     assert landing.kept(tables.log("bronze/a_raw"), SYSTEM_A).count() == 1
+
+
+def test_another_entity(spark, tmp_path):
+    """Companies, with systems and rules of their own, through the same job."""
+    left = System("a", "a_company", "a_changed", "mail", ("mail", "title", "size"), nested="properties")
+    right = System("b", "b_account", "b_changed", "mail", ("mail", "name", "staff"))
+    rules = (FieldRule("title", "title", "name", "bi", "overwrite"), FieldRule("size", "size", "staff", "to_b", "fill_if_missing"))
+    tables = Tables(spark, str(tmp_path / "companies"), Entity("companies", left, right, rules))
+    a = [record_a("1", "2024-01-01T00:00:00Z", mail="info@x.y", title="X", size="5")]
+    b = [record_b("9", "2024-01-01T00:00:00Z", mail="INFO@x.y", name="Y")]
+    pipeline.sync_run(tables, landed(spark, *a), landed(spark, *b), 1, day(2))
+    assert tables.state("silver/crosswalk").select("a_company", "b_account").first() == ("1", "9")
+    assert json.loads(tables.state("gold/b_outbox").first()["payload"]) == {"name": "X", "staff": "5"}
+    assert json.loads(tables.state("gold/a_outbox").first()["payload"]) == {"title": "Y"}
+    assert pipeline.full_history(tables).first()["size"] == "5"
+    assert {r["entity"] for r in tables.log("meta/audit_log").collect()} == {"companies"}

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinsync.functions.payloads import to_patch, update_if, update_list
 from twinsync.functions.times import at
-from twinsync.rules import CONTACT_RULES, SYSTEM_A, SYSTEM_B, UNIFIED_ID, FieldRule, System
+from twinsync.rules import CONTACTS, UNIFIED_ID, Entity, FieldRule, System
 
 
 def _needs_update(rule: FieldRule, source: System, target: System, conflict: str, empty_is_null: bool) -> Column:
@@ -29,9 +27,9 @@ def _needs_update(rule: FieldRule, source: System, target: System, conflict: str
 
 def updates_for(
     target: System,
-    rules: Sequence[FieldRule] = CONTACT_RULES,
     conflict: str = "both",
     empty_is_null: bool = False,
+    entity: Entity = CONTACTS,
 ) -> Column:
     """The list of updates that a matched record has for the target.
 
@@ -42,14 +40,14 @@ def updates_for(
     """
     if conflict not in ("both", "newest"):
         raise ValueError(f"unknown conflict mode {conflict!r}")
-    source = SYSTEM_B if target.name == "a" else SYSTEM_A
+    source = entity.partner(target)
     updates = [
         update_if(
             _needs_update(rule, source, target, conflict, empty_is_null),
             rule.column(target),
             F.col(source.matched(rule.column(source))),
         )
-        for rule in rules
+        for rule in entity.rules
         if rule.a and rule.b and rule.direction in ("bi", f"to_{target.name}")
     ]
     if not updates:
@@ -60,15 +58,15 @@ def updates_for(
 def field_deltas(
     matched: DataFrame,
     target: System,
-    rules: Sequence[FieldRule] = CONTACT_RULES,
     conflict: str = "both",
     empty_is_null: bool = False,
+    entity: Entity = CONTACTS,
 ) -> DataFrame:
     """Unified id, target id and updates of every record the target should change.
 
     A projection and a filter of the matched frame; no shuffle.
     """
-    updates = updates_for(target, rules, conflict, empty_is_null)
+    updates = updates_for(target, conflict, empty_is_null, entity)
     return matched.select(UNIFIED_ID, target.id, updates.alias("updates")).where(F.size("updates") > 0)
 
 

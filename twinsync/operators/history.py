@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from twinsync.functions.keys import row_checksum
 from twinsync.functions.times import at
-from twinsync.rules import UNIFIED_FIELDS, UNIFIED_ID
+from twinsync.rules import CONTACTS, UNIFIED_ID
 
 
-def with_checksum(current: DataFrame, fields: Sequence[str] = UNIFIED_FIELDS, length_prefixed: bool = False) -> DataFrame:
+def with_checksum(current: DataFrame, fields: Sequence[str] = CONTACTS.fields, length_prefixed: bool = False) -> DataFrame:
     """The current records, reduced to id, fields and checksum."""
     return current.select(UNIFIED_ID, *fields, row_checksum(fields, length_prefixed).alias("checksum"))
 
@@ -27,7 +27,7 @@ def _history_columns(fields: Sequence[str]) -> list[str]:
     return [UNIFIED_ID, *fields, "valid_from", "valid_to", "is_current", "checksum"]
 
 
-def scd2_changes(current: DataFrame, history: DataFrame, as_of: datetime, fields: Sequence[str] = UNIFIED_FIELDS) -> DataFrame:
+def scd2_changes(current: DataFrame, history: DataFrame, as_of: datetime, fields: Sequence[str] = CONTACTS.fields) -> DataFrame:
     """New versions to open: records unknown to the history, or with another checksum."""
     opened = history.where(F.col("is_current")).select(UNIFIED_ID, F.col("checksum").alias("old_checksum"))
     joined = with_checksum(current, fields).join(opened, [UNIFIED_ID], "left")
@@ -55,7 +55,7 @@ def scd2_step(
     current: DataFrame,
     opened: DataFrame,
     as_of: datetime,
-    fields: Sequence[str] = UNIFIED_FIELDS,
+    fields: Sequence[str] = CONTACTS.fields,
     close_missing: bool = False,
 ) -> DataFrame:
     """Open versions before and current records now, to open and just-closed versions after.
@@ -91,7 +91,7 @@ def scd2_apply(
     current: DataFrame,
     history: DataFrame,
     as_of: datetime,
-    fields: Sequence[str] = UNIFIED_FIELDS,
+    fields: Sequence[str] = CONTACTS.fields,
     close_missing: bool = False,
 ) -> DataFrame:
     """The whole history after taking in the current records; every older version stays."""

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinsync.functions.keys import normalize_email, unified_id
 from twinsync.operators.snapshot import one_per_email
-from twinsync.rules import CONTACT_RULES, SYSTEM_A, SYSTEM_B, UNIFIED_ID, FieldRule, System
+from twinsync.rules import CONTACTS, UNIFIED_ID, Entity, FieldRule, System
 
 
 def email_keys(snap: DataFrame, system: System) -> DataFrame:
@@ -33,7 +31,9 @@ def _match_side(snap: DataFrame, system: System, keep_unkeyed: bool) -> DataFram
     return side.select(*keys, *(F.col(c).alias(system.matched(c)) for c in system.snapshot_columns))
 
 
-def match_records(snap_a: DataFrame, snap_b: DataFrame, keep_unkeyed: bool = False) -> DataFrame:
+def match_records(
+    snap_a: DataFrame, snap_b: DataFrame, keep_unkeyed: bool = False, entity: Entity = CONTACTS
+) -> DataFrame:
     """Both systems side by side: one row per match key, one-sided ones included.
 
     The attributes travel through the one full outer join, so crosswalk, unified records and field
@@ -44,7 +44,8 @@ def match_records(snap_a: DataFrame, snap_b: DataFrame, keep_unkeyed: bool = Fal
     their unified id taken from the system's name and their own id.
     """
     keys = ["match_key", "keyed_by"] if keep_unkeyed else ["match_email"]
-    joined = _match_side(snap_a, SYSTEM_A, keep_unkeyed).join(_match_side(snap_b, SYSTEM_B, keep_unkeyed), keys, "full")
+    side_a, side_b = (_match_side(snap, s, keep_unkeyed) for snap, s in zip((snap_a, snap_b), entity.systems))
+    joined = side_a.join(side_b, keys, "full")
     if keep_unkeyed:
         by_email = F.col("keyed_by") == "email"
         own = F.concat(F.col("keyed_by"), F.lit("|"), F.col("match_key"))
@@ -52,41 +53,43 @@ def match_records(snap_a: DataFrame, snap_b: DataFrame, keep_unkeyed: bool = Fal
         email = F.when(by_email, F.col("match_key"))
     else:
         uid, email = unified_id(F.col("match_email")), F.col("match_email")
-    return joined.select(uid.alias(UNIFIED_ID), email.alias("match_email"), *_matched_columns())
-
-
-def _matched_columns() -> list[str]:
-    return [s.matched(c) for s in (SYSTEM_A, SYSTEM_B) for c in s.snapshot_columns]
+    return joined.select(uid.alias(UNIFIED_ID), email.alias("match_email"), *entity.matched_columns)
 
 
-def crosswalk(matched: DataFrame) -> DataFrame:
+def crosswalk(matched: DataFrame, entity: Entity = CONTACTS) -> DataFrame:
     """Unified id, normalised email and the id on either side."""
-    return matched.select(UNIFIED_ID, F.col("match_email").alias("email"), SYSTEM_A.id, SYSTEM_B.id)
+    return matched.select(UNIFIED_ID, F.col("match_email").alias("email"), entity.a.id, entity.b.id)
 
 
-def attach_snapshots(xwalk: DataFrame, snap_a: DataFrame, snap_b: DataFrame) -> DataFrame:
+def attach_snapshots(
+    xwalk: DataFrame, snap_a: DataFrame, snap_b: DataFrame, entity: Entity = CONTACTS
+) -> DataFrame:
     """The matched layout from a stored crosswalk: two left joins by id.
 
     One-sided rows have a null id on the other side, perhaps a third of all rows.  They join under
     their unified id instead, which spreads them over all partitions; the null test keeps them unmatched.
     """
     x = xwalk.withColumnRenamed("email", "match_email")
-    for system, snap in ((SYSTEM_A, snap_a), (SYSTEM_B, snap_b)):
+    for system, snap in zip(entity.systems, (snap_a, snap_b)):
         key = F.coalesce(F.col(system.id), F.col(UNIFIED_ID)) == F.col("_id")
         named = snap.select(
             F.col(system.id).alias("_id"),
             *(F.col(c).alias(system.matched(c)) for c in system.snapshot_columns if c != system.id),
         )
         x = x.join(named, key & F.col(system.id).isNotNull(), "left").drop("_id")
-    return x.select(UNIFIED_ID, "match_email", *_matched_columns())
+    return x.select(UNIFIED_ID, "match_email", *entity.matched_columns)
 
 
-def survivors(rules: Sequence[FieldRule] = CONTACT_RULES) -> list[Column]:
+def survivors(entity: Entity = CONTACTS) -> list[Column]:
     """Per unified field, A's value of a matched record, or B's where A has none."""
-    sides = lambda rule: [F.col(s.matched(rule.column(s))) for s in (SYSTEM_A, SYSTEM_B) if rule.column(s)]
-    return [F.coalesce(*sides(rule)).alias(rule.unified) for rule in rules]
+
+    def survivor(rule: FieldRule) -> Column:
+        sides = [F.col(s.matched(rule.column(s))) for s in entity.systems if rule.column(s)]
+        return F.coalesce(*sides).alias(rule.unified)
+
+    return [survivor(rule) for rule in entity.rules]
 
 
-def unify(matched: DataFrame, rules: Sequence[FieldRule] = CONTACT_RULES) -> DataFrame:
+def unify(matched: DataFrame, entity: Entity = CONTACTS) -> DataFrame:
     """One unified record per match."""
-    return matched.select(UNIFIED_ID, *survivors(rules))
+    return matched.select(UNIFIED_ID, *survivors(entity))

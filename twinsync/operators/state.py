@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from twinsync import schemas
 from twinsync.functions.times import at, format_iso, request_id
 from twinsync.operators.outbox import outcome_status
-from twinsync.rules import UNIFIED_ID, System
+from twinsync.rules import CONTACTS, UNIFIED_ID, System
 
 
 def watermark_current(watermarks: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def audit_rows(
     http_code: Column,
     message: Column,
     payload: Column | None = None,
-    entity: str = "contacts",
+    entity: str = CONTACTS.name,
     request_kind: str = "push",
 ) -> DataFrame:
     """One audit row per input row."""
@@ -70,7 +70,9 @@ def _audit_status(http_code: Column) -> Column:
     return F.when(outcome_status(http_code) == "SUCCESS", "SUCCESS").otherwise("FAILED")
 
 
-def audit_pushed_records(outcomes: DataFrame, target: System, as_of: datetime) -> DataFrame:
+def audit_pushed_records(
+    outcomes: DataFrame, target: System, as_of: datetime, entity: str = CONTACTS.name
+) -> DataFrame:
     """One row per pushed record; a failure keeps its message and patch."""
     code = F.col("http_code")
     success = _audit_status(code) == "SUCCESS"
@@ -78,27 +80,32 @@ def audit_pushed_records(outcomes: DataFrame, target: System, as_of: datetime) -
         outcomes, target.name, "push", as_of, _audit_status(code), code,
         F.when(success, F.concat(F.lit("Patched "), F.col(target.id))).otherwise(F.col("message")),
         F.when(~success, F.col("payload")),
+        entity,
     )
 
 
-def audit_pushed_batch(requests: DataFrame, target: System, as_of: datetime, http_code: int, message: str) -> DataFrame:
+def audit_pushed_batch(
+    requests: DataFrame, target: System, as_of: datetime, http_code: int, message: str, entity: str = CONTACTS.name
+) -> DataFrame:
     """One row for a whole batch with its number of requests, or the message of its failure."""
     counted = requests.agg(F.count(F.lit(1)).alias("n"))
     code = F.lit(http_code)
     text = F.when(
         _audit_status(code) == "SUCCESS", F.concat(F.lit("Pushed "), F.col("n").cast("string"), F.lit(" records"))
     ).otherwise(F.lit(message))
-    return audit_rows(counted, target.name, "push", as_of, _audit_status(code), code, text)
+    return audit_rows(counted, target.name, "push", as_of, _audit_status(code), code, text, entity=entity)
 
 
-def audit_ingest(counted: DataFrame, source: System, as_of: datetime, since: datetime | None) -> DataFrame:
+def audit_ingest(
+    counted: DataFrame, source: System, as_of: datetime, since: datetime | None, entity: str = CONTACTS.name
+) -> DataFrame:
     """One row for an ingest, from its row count and newest time (``records``, ``high_water``)."""
     payload = F.to_json(F.struct(
         format_iso(at(since)).alias("since"), format_iso(F.col("high_water")).alias("max")
     ), {"ignoreNullFields": "false"})
     message = F.concat(F.lit("Ingested "), F.col("records").cast("string"), F.lit(" records"))
     return audit_rows(
-        counted, source.name, "ingest", as_of, F.lit("SUCCESS"), F.lit(200), message, payload, request_kind="load"
+        counted, source.name, "ingest", as_of, F.lit("SUCCESS"), F.lit(200), message, payload, entity, "load"
     )
 
 
@@ -109,7 +116,7 @@ def dead_letters(
     key: Column,
     reason: Column,
     payload: Column,
-    entity: str = "contacts",
+    entity: str = CONTACTS.name,
 ) -> DataFrame:
     """One dead-letter row per input row."""
     return rows.select(
@@ -118,12 +125,16 @@ def dead_letters(
     )
 
 
-def undeliverable_letters(rows: DataFrame, target: System, as_of: datetime) -> DataFrame:
+def undeliverable_letters(
+    rows: DataFrame, target: System, as_of: datetime, entity: str = CONTACTS.name
+) -> DataFrame:
     """Dead letters for outbox rows without a target id."""
-    return dead_letters(rows, target.name, as_of, F.col(UNIFIED_ID), F.lit(f"Missing {target.id}"), F.col("payload"))
+    return dead_letters(rows, target.name, as_of, F.col(UNIFIED_ID), F.lit(f"Missing {target.id}"), F.col("payload"), entity)
 
 
-def failed_letters(outcomes: DataFrame, target: System, as_of: datetime) -> DataFrame:
+def failed_letters(
+    outcomes: DataFrame, target: System, as_of: datetime, entity: str = CONTACTS.name
+) -> DataFrame:
     """Dead letters for pushes that no retry will save."""
     final = outcomes.where(outcome_status(F.col("http_code")) == "FAILED")
-    return dead_letters(final, target.name, as_of, F.col(UNIFIED_ID), F.col("message"), F.col("payload"))
+    return dead_letters(final, target.name, as_of, F.col(UNIFIED_ID), F.col("message"), F.col("payload"), entity)

@@ -7,7 +7,7 @@ rows, and history rewrites its open versions only.  Run ids must grow; a repeate
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from typing import Any
@@ -19,25 +19,24 @@ from twinsync.functions.keys import row_checksum
 from twinsync.functions.payloads import to_patch
 from twinsync.functions.times import at
 from twinsync.operators import deltas, history, match, outbox, snapshot, state
-from twinsync.rules import CONTACT_RULES, SYSTEM_A, SYSTEM_B, UNIFIED_ID, FieldRule, System
+from twinsync.rules import CONTACTS, UNIFIED_ID, Entity, System
 from twinsync.sources import landing
 from twinsync.sources.tables import Tables
 
-ENTITY = "contacts"
 _BY_SYSTEM = ("system", "entity")
 
 
-def sync_view(matched: DataFrame, rules: Sequence[FieldRule] = CONTACT_RULES) -> DataFrame:
+def sync_view(matched: DataFrame, entity: Entity = CONTACTS) -> DataFrame:
     """What a run would do, in one projection: unified record, checksum, and the patch for either side."""
 
     def patch(target: System) -> Column:
-        updates = deltas.updates_for(target, rules)
+        updates = deltas.updates_for(target, entity=entity)
         return F.when(F.size(updates) > 0, to_patch(updates)).alias(f"{target.name}_payload")
 
-    unified = match.survivors(rules)
+    unified = match.survivors(entity)
     return matched.select(
-        UNIFIED_ID, SYSTEM_A.id, SYSTEM_B.id, *unified, row_checksum(unified).alias("checksum"),
-        patch(SYSTEM_A), patch(SYSTEM_B),
+        UNIFIED_ID, entity.a.id, entity.b.id, *unified, row_checksum(unified).alias("checksum"),
+        patch(entity.a), patch(entity.b),
     )
 
 
@@ -45,18 +44,18 @@ def ingest(
     tables: Tables, landed: DataFrame, system: System, run_id: int, as_of: datetime, default: datetime | None
 ) -> DataFrame:
     """Landed text to bronze rows.  The text is read once; the position moves last, and only if rows came in."""
-    spark, step = tables.spark, f"ingest_{system.name}"
-    since = state.watermark_of(tables.log("meta/watermarks", before=run_id), ENTITY, system.name, default)
+    spark, entity, step = tables.spark, tables.entity.name, f"ingest_{system.name}"
+    since = state.watermark_of(tables.log("meta/watermarks", before=run_id), entity, system.name, default)
     batch = landing.sort_out(landing.parse_records(landed, system, as_of), system, since)
     stored = tables.append(f"bronze/{system.name}_raw", batch, run_id, partition_by=("rejected", "load_date"))
-    tables.append("meta/dead_letter", landing.rejected_letters(stored, system, as_of), run_id, step, _BY_SYSTEM)
+    tables.append("meta/dead_letter", landing.rejected_letters(stored, system, as_of, entity), run_id, step, _BY_SYSTEM)
 
     written = landing.kept(stored, system)
     records, newest = landing.high_water(written, system.modified).first()
     counted = state.one_row(spark, records=F.lit(records), high_water=at(newest))
-    tables.append("meta/audit_log", state.audit_ingest(counted, system, as_of, since), run_id, step, _BY_SYSTEM)
+    tables.append("meta/audit_log", state.audit_ingest(counted, system, as_of, since, entity), run_id, step, _BY_SYSTEM)
     if newest is not None:
-        moved = state.watermark_advance(spark, ENTITY, system.name, newest, as_of)
+        moved = state.watermark_advance(spark, entity, system.name, newest, as_of)
         tables.append("meta/watermarks", moved, run_id, step, ("entity",))
     return written
 
@@ -75,7 +74,7 @@ def refresh_history(tables: Tables, unified: DataFrame, run_id: int, as_of: date
     the closed parts of all steps are the log.
     """
     opened = open_history(tables, before=run_id)
-    step = history.scd2_step(unified, opened, as_of, close_missing=close_missing)
+    step = history.scd2_step(unified, opened, as_of, tables.entity.fields, close_missing)
     tables.append("silver/history", step, run_id, partition_by=("is_current",))
 
 
@@ -97,31 +96,31 @@ def sync_run(
     run_id: int,
     as_of: datetime,
     default_start: datetime | None = None,
-    rules: Sequence[FieldRule] = CONTACT_RULES,
     keep_unkeyed: bool = False,
 ) -> None:
     """One run, from landed records of both systems to fresh outboxes."""
+    entity = tables.entity
 
     def load(system: System, landed: DataFrame) -> DataFrame:
         written = ingest(tables, landed, system, run_id, as_of, default_start)
         return refresh_snapshot(tables, written, system, run_id)
 
-    snapshots = _together(lambda: load(SYSTEM_A, landed_a), lambda: load(SYSTEM_B, landed_b))
-    matched = tables.replace("silver/matched", match.match_records(*snapshots, keep_unkeyed=keep_unkeyed), run_id)
+    snapshots = _together(lambda: load(entity.a, landed_a), lambda: load(entity.b, landed_b))
+    matched = tables.replace("silver/matched", match.match_records(*snapshots, keep_unkeyed, entity), run_id)
 
     def keep_history() -> None:
-        unified = tables.replace("silver/unified", match.unify(matched, rules), run_id)
+        unified = tables.replace("silver/unified", match.unify(matched, entity), run_id)
         refresh_history(tables, unified, run_id, as_of)
 
     def stage(target: System) -> None:
-        patches = deltas.build_outbox(deltas.field_deltas(matched, target, rules), target)
+        patches = deltas.build_outbox(deltas.field_deltas(matched, target, entity=entity), target)
         tables.replace(f"gold/{target.name}_outbox", patches, run_id)
 
     _together(
-        lambda: tables.replace("silver/crosswalk", match.crosswalk(matched), run_id),
+        lambda: tables.replace("silver/crosswalk", match.crosswalk(matched, entity), run_id),
         keep_history,
-        lambda: stage(SYSTEM_A),
-        lambda: stage(SYSTEM_B),
+        lambda: stage(entity.a),
+        lambda: stage(entity.b),
     )
 
 
@@ -143,8 +142,11 @@ def take_results(tables: Tables, results: DataFrame, target: System, run_id: int
     before = tables.state(name, before=run_id)
     pushed = outbox.outcomes(before, results, target).persist()
     lost = outbox.undeliverable(outbox.pending(before), target)
-    letters = state.undeliverable_letters(lost, target, as_of).unionByName(state.failed_letters(pushed, target, as_of))
+    entity = tables.entity.name
+    letters = state.undeliverable_letters(lost, target, as_of, entity).unionByName(
+        state.failed_letters(pushed, target, as_of, entity)
+    )
     tables.append("meta/dead_letter", letters, run_id, step, _BY_SYSTEM)
-    tables.append("meta/audit_log", state.audit_pushed_records(pushed, target, as_of), run_id, step, _BY_SYSTEM)
+    tables.append("meta/audit_log", state.audit_pushed_records(pushed, target, as_of, entity), run_id, step, _BY_SYSTEM)
     pushed.unpersist()
     return tables.replace(name, outbox.apply_results(before, results, target, as_of), run_id)

@@ -84,4 +84,31 @@ CONTACT_RULES = (
     FieldRule("company", "company", "company", "to_b", "fill_if_missing"),
 )
 
-UNIFIED_FIELDS = tuple(rule.unified for rule in CONTACT_RULES)
+
+
+@dataclass(frozen=True)
+class Entity:
+    """A kind of record that both systems hold.  Other kinds than contacts bring their own."""
+
+    name: str
+    a: System
+    b: System
+    rules: tuple[FieldRule, ...]
+
+    @property
+    def systems(self) -> tuple[System, System]:
+        return self.a, self.b
+
+    @property
+    def fields(self) -> tuple[str, ...]:
+        return tuple(rule.unified for rule in self.rules)
+
+    @property
+    def matched_columns(self) -> tuple[str, ...]:
+        return tuple(s.matched(c) for s in self.systems for c in s.snapshot_columns)
+
+    def partner(self, system: System) -> System:
+        return self.b if system.name == self.a.name else self.a
+
+
+CONTACTS = Entity("contacts", SYSTEM_A, SYSTEM_B, CONTACT_RULES)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinsync.rules import SYSTEM_A, SYSTEM_B, UNIFIED_FIELDS, UNIFIED_ID, System
+from twinsync.rules import CONTACTS, UNIFIED_ID, Entity, System
 
 
 def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -39,16 +39,24 @@ def outbox(system: System) -> T.StructType:
     )
 
 
-CROSSWALK = _schema((UNIFIED_ID, _STR), ("email", _STR), ("a_id", _STR), ("b_id", _STR))
-MATCHED = _schema(
-    (UNIFIED_ID, _STR), ("match_email", _STR),
-    *((s.matched(f.name), f.dataType) for s in (SYSTEM_A, SYSTEM_B) for f in snapshot(s).fields),
-)
-UNIFIED = _schema((UNIFIED_ID, _STR), *((c, _STR) for c in UNIFIED_FIELDS))
-HISTORY = _schema(
-    (UNIFIED_ID, _STR), *((c, _STR) for c in UNIFIED_FIELDS),
-    ("valid_from", _TIME), ("valid_to", _TIME), ("is_current", _BOOL), ("checksum", _STR),
-)
+def crosswalk(entity: Entity) -> T.StructType:
+    return _schema((UNIFIED_ID, _STR), ("email", _STR), *((s.id, _STR) for s in entity.systems))
+
+
+def matched(entity: Entity) -> T.StructType:
+    sides = [(s.matched(f.name), f.dataType) for s in entity.systems for f in snapshot(s).fields]
+    return _schema((UNIFIED_ID, _STR), ("match_email", _STR), *sides)
+
+
+def unified(entity: Entity) -> T.StructType:
+    return _schema((UNIFIED_ID, _STR), *((c, _STR) for c in entity.fields))
+
+
+def history(entity: Entity) -> T.StructType:
+    times = (("valid_from", _TIME), ("valid_to", _TIME), ("is_current", _BOOL), ("checksum", _STR))
+    return _schema(*((f.name, f.dataType) for f in unified(entity).fields), *times)
+
+
 WATERMARKS = _schema(("entity", _STR), ("source", _STR), ("watermark_ts", _TIME), ("updated_at", _TIME))
 AUDIT_LOG = _schema(
     ("ts", _TIME), ("system", _STR), ("entity", _STR), ("operation", _STR), ("request_id", _STR),
@@ -58,22 +66,28 @@ DEAD_LETTER = _schema(
     ("ts", _TIME), ("system", _STR), ("entity", _STR), ("key", _STR), ("reason", _STR), ("payload", _STR)
 )
 
-# Layer and schema of each table.
-TABLES = {
-    "bronze/a_raw": landed(SYSTEM_A),
-    "bronze/b_raw": landed(SYSTEM_B),
-    "silver/a_snapshot": snapshot(SYSTEM_A),
-    "silver/b_snapshot": snapshot(SYSTEM_B),
-    "silver/matched": MATCHED,
-    "silver/crosswalk": CROSSWALK,
-    "silver/unified": UNIFIED,
-    "silver/history": HISTORY,
-    "gold/a_outbox": outbox(SYSTEM_A),
-    "gold/b_outbox": outbox(SYSTEM_B),
-    "meta/watermarks": WATERMARKS,
-    "meta/audit_log": AUDIT_LOG,
-    "meta/dead_letter": DEAD_LETTER,
-}
+def tables(entity: Entity) -> dict[str, T.StructType]:
+    """Layer and schema of each table."""
+    per_system = {}
+    for system in entity.systems:
+        per_system[f"bronze/{system.name}_raw"] = landed(system)
+        per_system[f"silver/{system.name}_snapshot"] = snapshot(system)
+        per_system[f"gold/{system.name}_outbox"] = outbox(system)
+    return {
+        **per_system,
+        "silver/matched": matched(entity),
+        "silver/crosswalk": crosswalk(entity),
+        "silver/unified": unified(entity),
+        "silver/history": history(entity),
+        "meta/watermarks": WATERMARKS,
+        "meta/audit_log": AUDIT_LOG,
+        "meta/dead_letter": DEAD_LETTER,
+    }
+
+
+# The tables of contacts.
+CROSSWALK, MATCHED, UNIFIED, HISTORY = (make(CONTACTS) for make in (crosswalk, matched, unified, history))
+TABLES = tables(CONTACTS)
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:

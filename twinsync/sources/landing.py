@@ -12,7 +12,7 @@ from twinsync import schemas
 from twinsync.functions.times import at, parse_iso
 from twinsync.operators.snapshot import first_per_key
 from twinsync.operators.state import dead_letters
-from twinsync.rules import System
+from twinsync.rules import CONTACTS, System
 
 MODIFIED_KEY = "modified"
 
@@ -93,10 +93,12 @@ def kept(stored: DataFrame, system: System) -> DataFrame:
     return stored.where(~F.col("rejected")).select(*schemas.bronze(system).names)
 
 
-def rejected_letters(stored: DataFrame, system: System, as_of: datetime) -> DataFrame:
+def rejected_letters(
+    stored: DataFrame, system: System, as_of: datetime, entity: str = CONTACTS.name
+) -> DataFrame:
     """Dead letters for the rejected ones among stored rows, with the text as landed."""
     lost = stored.where(F.col("rejected"))
-    return dead_letters(lost, system.name, as_of, F.col(system.id), F.col("reject_reason"), F.col("raw"))
+    return dead_letters(lost, system.name, as_of, F.col(system.id), F.col("reject_reason"), F.col("raw"), entity)
 
 
 def accepted_records(parsed: DataFrame, system: System, since: datetime | None = None) -> DataFrame:

@@ -17,15 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from twinsync import schemas
+from twinsync.rules import CONTACTS, Entity
 
 
 class Tables:
-    """The tables under one folder."""
+    """The tables of an entity, under one folder."""
 
-    def __init__(self, spark: SparkSession, root: str, table_schemas: dict[str, T.StructType] = schemas.TABLES) -> None:
+    def __init__(self, spark: SparkSession, root: str, entity: Entity = CONTACTS) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
-        self.schemas = table_schemas
+        self.entity = entity
+        self.schemas = schemas.tables(entity)
 
     def _committed(self, pattern: str) -> list[str]:
         """Folders that match the pattern and hold a finished job's output."""
