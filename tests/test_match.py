@@ -102,3 +102,28 @@ def test_hot_keys_are_cut_down_before_the_shuffle(spark):
     assert "Partial" in plan[partial:partial + 200]
     assert latest.count() == 20_001
     assert latest.where("k = 'hot'").first()["t"] == 29_997
+
+
+def test_refresh_equals_the_snapshot_of_all_changes(spark):
+    """Both ways, over changes with ties, null times, new ids and ids that come in late."""
+    def rows(*numbers):
+        return [
+            {"id": f"a{n % 17}", "modified": None if n % 11 == 0 else day(1 + n * 7 % 13), "firstname": str(n % 5), "phone": None if n % 3 else str(n)}
+            for n in numbers
+        ]
+
+    first, second = rows(*range(60)), rows(*range(40, 120, 3)) + [{"id": "new", "modified": day(1)}, {"id": None, "modified": day(2)}]
+    previous = snapshot.snapshot(a_rows(spark, *first), SYSTEM_A)
+    expected = as_dicts(snapshot.snapshot(a_rows(spark, *first, *second), SYSTEM_A), "a_id")
+    for limit in (10**9, 0):
+        got = snapshot.refresh(previous, a_rows(spark, *second), SYSTEM_A, limit)
+        assert got.schema.names == previous.schema.names
+        assert as_dicts(got, "a_id") == expected
+
+
+def test_refresh_does_not_shuffle_the_snapshot(spark, tmp_path):
+    a_rows(spark, *({"id": f"a{n}", "modified": day(1)} for n in range(50))).write.parquet(str(tmp_path / "s"))
+    previous = spark.read.parquet(str(tmp_path / "s"))
+    plan = snapshot.refresh(previous, a_rows(spark, {"id": "a1", "modified": day(2)}), SYSTEM_A)._jdf.queryExecution()
+    merged = plan.executedPlan().toString().split("Union")[1].split("BroadcastExchange")[0]
+    assert "FileScan" in merged and "Exchange hashpartitioning" not in merged

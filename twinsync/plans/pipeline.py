@@ -63,8 +63,7 @@ def ingest(
 def refresh_snapshot(tables: Tables, written: DataFrame, system: System, run_id: int) -> DataFrame:
     """The snapshot before and the run's bronze rows, latest per id."""
     name = f"silver/{system.name}_snapshot"
-    changes = tables.state(name, before=run_id).unionByName(written.select(*system.snapshot_columns))
-    return tables.replace(name, snapshot.snapshot(changes, system), run_id)
+    return tables.replace(name, snapshot.refresh(tables.state(name, before=run_id), written, system), run_id)
 
 
 def refresh_history(tables: Tables, unified: DataFrame, run_id: int, as_of: datetime, close_missing: bool = False) -> None:

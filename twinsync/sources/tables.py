@@ -52,7 +52,7 @@ class Tables:
         """
         target = f"{self.root}/{name}/run_id={run_id}/step={step}"
         out = rows.hint("rebalance", *partition_by) if many_values else rows
-        out.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+        out.write.mode("overwrite").partitionBy(*partition_by).option("partitionOverwriteMode", "static").parquet(target)
         return self.spark.read.schema(rows.schema).parquet(target)
 
     def log(self, name: str, before: int | None = None, newest: bool = False) -> DataFrame:

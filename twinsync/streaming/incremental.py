@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinsync.operators.snapshot import snapshot
+from twinsync.operators.snapshot import refresh
 from twinsync.rules import System
 from twinsync.sources import landing
 from twinsync.sources.tables import Tables
@@ -75,8 +75,9 @@ def stream_snapshot(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = landing.parse_records(batch, system, load_ts)
-        changes = landing.accepted_records(parsed, system).select(*system.snapshot_columns)
-        tables.replace(name, snapshot(tables.state(name).unionByName(changes), system))
+        changes = landing.accepted_records(parsed, system).persist()
+        tables.replace(name, refresh(tables.state(name), changes, system))
+        changes.unpersist()
 
     _run_available(_landed(tables.spark, landing_dir, files_per_batch), checkpoint, write_batch)
     return tables.state(name)
