@@ -17,7 +17,7 @@ HEADLINE = (
     "sync_flagship", "unified", "crosswalk", "scd2_apply", "outbox_a", "outbox_b", "outbox_apply_results",
     "translate_payload", "latest_snapshot_a", "latest_by_composite_key", "upsert_by_key", "bronze_nested_json",
     "bronze_flat_json", "option_set_dim", "incremental_filter", "watermark_current", "redact_documents",
-    "redact_text", "stream_ingest", "sync_pipeline",
+    "redact_text", "stream_ingest", "sync_two_runs",
 )
 
 

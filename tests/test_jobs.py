@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from twinsync import schemas
 from twinsync.operators import state
-from twinsync.plans import pipeline
+from twinsync.plans import sync_job
 from twinsync.rules import SYSTEM_A, SYSTEM_B, Entity, FieldRule, System
 from twinsync.session import work_folder
 from twinsync.sources import landing
@@ -93,6 +93,8 @@ def test_tables_rerun_and_versions(spark, tables):
     tables.replace(name, tables.state(name).withColumn("b_id", F.lit("2")), 10)  # reads what it replaces
     assert tables.state(name).first()["b_id"] == "2"
     assert tables.state(name, before=10).first()["b_id"] is None
+    with pytest.raises(ValueError, match="run ids must grow"):
+        tables.replace(name, tables.state(name), 5)
 
 
 def test_uncommitted_versions_do_not_count(spark, tables, tmp_path):
@@ -107,7 +109,7 @@ def test_work_folder_is_under_the_shared_one(spark):
 
 
 def sync(tables, run_id, time, a, b):
-    pipeline.sync_run(tables, landed(tables.spark, *a), landed(tables.spark, *b), run_id, time, datetime(2000, 1, 1))
+    sync_job.sync_run(tables, landed(tables.spark, *a), landed(tables.spark, *b), run_id, time, datetime(2000, 1, 1))
 
 
 FIRST_A = [record_a("a1", "2024-01-01T00:00:00Z", email="x@y.z", phone="1"), record_a("a2", "2024-01-01T00:00:00Z", email="only@a.z", lastname="L"), "junk"]
@@ -125,7 +127,7 @@ def state_of(tables):
 def test_job_over_two_runs(spark, tables):
     sync(tables, 1, day(2), FIRST_A, FIRST_B)
     assert {r["a_id"]: r["b_id"] for r in tables.state("silver/crosswalk").collect()} == {"a1": "b1", "a2": None}
-    assert json.loads(pipeline.next_push(tables, SYSTEM_A).rows.first()["payload"]) == {"email": "X@y.z", "phone": "2"}
+    assert json.loads(sync_job.next_push(tables, SYSTEM_A).rows.first()["payload"]) == {"email": "X@y.z", "phone": "2"}
     letters = as_dicts(tables.log("meta/dead_letter"))
     assert [(r["system"], r["reason"], r["payload"]) for r in letters] == [("a", "Missing record id", "junk")]
 
@@ -133,11 +135,11 @@ def test_job_over_two_runs(spark, tables):
     once = state_of(tables)
     assert {r["a_id"] for r in tables.state("silver/a_snapshot").collect()} == {"a1", "a2"}  # a9 lies before the position
     assert tables.state("silver/a_snapshot").where("a_id = 'a1'").first()["phone"] == "3"
-    past = pipeline.full_history(tables)
+    past = sync_job.full_history(tables)
     assert past.count() == 3
     assert past.where("not is_current").first()["valid_to"] == day(4)
     assert past.where("is_current").count() == 2
-    marks = pipeline.state.watermark_of(tables.log("meta/watermarks"), "contacts", "a", None)
+    marks = sync_job.state.watermark_of(tables.log("meta/watermarks"), "contacts", "a", None)
     assert marks == datetime(2024, 1, 3)
     audit = {(r["system"], r["message"]) for r in tables.log("meta/audit_log").collect()}
     assert audit == {("a", "Ingested 2 records"), ("b", "Ingested 1 records"), ("a", "Ingested 1 records")}
@@ -146,16 +148,16 @@ def test_job_over_two_runs(spark, tables):
     assert state_of(tables) == once
 
     results = spark.createDataFrame([("b1", 204, "ok")], "b_id string, http_code int, message string")
-    after = pipeline.take_results(tables, results, SYSTEM_B, 3, day(5))
+    after = sync_job.take_results(tables, results, SYSTEM_B, 3, day(5))
     assert {(r["b_id"], r["status"]) for r in after.collect()} == {("b1", "SUCCESS"), ("b2", "PENDING")}
-    assert pipeline.next_push(tables, SYSTEM_B).rows.count() == 1
+    assert sync_job.next_push(tables, SYSTEM_B).rows.count() == 1
 
 
 def test_run_without_news_adds_no_version(spark, tables):
     sync(tables, 1, day(2), FIRST_A, FIRST_B)
-    before = pipeline.full_history(tables).count()
+    before = sync_job.full_history(tables).count()
     sync(tables, 2, day(4), [], [])
-    assert pipeline.full_history(tables).count() == before
+    assert sync_job.full_history(tables).count() == before
     assert tables.state("silver/a_snapshot").count() == 2
     assert tables.log("meta/watermarks").count() == 2  # no rows, no move
 
@@ -176,7 +178,7 @@ def test_streams_take_new_files_only_and_equal_the_batch(spark, tables, tmp_path
             seen = seen.unionByName(other)
         expected = landing.accepted_records(landing.parse_records(seen, SYSTEM_A, day(9)), SYSTEM_A)
         assert sorted(map(repr, bronze.collect())) == sorted(map(repr, expected.collect()))
-        latest = pipeline.snapshot.snapshot(expected, SYSTEM_A)
+        latest = sync_job.snapshot.snapshot(expected, SYSTEM_A)
         assert sorted(map(repr, snap.collect())) == sorted(map(repr, latest.collect()))
     assert tables.log("meta/dead_letter").count() == 1
     again = incremental.stream_ingest(tables, folder, checkpoint + "/b", SYSTEM_A, day(9))
@@ -211,9 +213,9 @@ def test_another_entity(spark, tmp_path):
     tables = Tables(spark, str(tmp_path / "companies"), Entity("companies", left, right, rules))
     a = [record_a("1", "2024-01-01T00:00:00Z", mail="info@x.y", title="X", size="5")]
     b = [record_b("9", "2024-01-01T00:00:00Z", mail="INFO@x.y", name="Y")]
-    pipeline.sync_run(tables, landed(spark, *a), landed(spark, *b), 1, day(2))
+    sync_job.sync_run(tables, landed(spark, *a), landed(spark, *b), 1, day(2))
     assert tables.state("silver/crosswalk").select("a_company", "b_account").first() == ("1", "9")
     assert json.loads(tables.state("gold/b_outbox").first()["payload"]) == {"name": "X", "staff": "5"}
     assert json.loads(tables.state("gold/a_outbox").first()["payload"]) == {"title": "Y"}
-    assert pipeline.full_history(tables).first()["size"] == "5"
+    assert sync_job.full_history(tables).first()["size"] == "5"
     assert {r["entity"] for r in tables.log("meta/audit_log").collect()} == {"companies"}

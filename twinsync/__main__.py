@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from twinsync.functions.text import redact_text
 from twinsync.operators.outbox import BATCH_ROWS
-from twinsync.plans import pipeline
+from twinsync.plans import sync_job
 from twinsync.rules import CONTACTS, Entity, FieldRule
 from twinsync.sources.tables import Tables
 
@@ -73,13 +73,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     tables = Tables(spark, args.root, entity)
     if args.step == "sync":
         landed = [spark.read.text(path).withColumnRenamed("value", "raw") for path in (args.landed_a, args.landed_b)]
-        pipeline.sync_run(tables, *landed, args.run_id, args.as_of, args.default_start, args.keep_unkeyed)
+        sync_job.sync_run(tables, *landed, args.run_id, args.as_of, args.default_start, args.keep_unkeyed)
         return
     target = entity.a if args.system == "a" else entity.b
     if args.step == "push":
-        pipeline.next_push(tables, target, args.size or None).requests.write.json(args.out)
+        sync_job.next_push(tables, target, args.size or None).requests.write.json(args.out)
     else:
-        pipeline.take_results(tables, spark.read.parquet(args.results), target, args.run_id, args.as_of)
+        sync_job.take_results(tables, spark.read.parquet(args.results), target, args.run_id, args.as_of)
 
 
 if __name__ == "__main__":

@@ -14,7 +14,7 @@ from twinsync.operators import deltas, history, match, outbox, snapshot, state,
 from twinsync.plans.inputs import (
     AS_OF_1, AS_OF_2, DEFAULT_START, FIRST_CUT, LOAD_TS, LOOKUPS, OPTION_SETS, SINCE, landed_text, table, view,
 )
-from twinsync.plans import pipeline
+from twinsync.plans import sync_job
 from twinsync.rules import SYSTEM_A, SYSTEM_B, UNIFIED_ID, System
 from twinsync.session import work_folder
 from twinsync.sources import landing
@@ -356,7 +356,7 @@ def redact_documents(spark, sf_dir):
 
 @query
 def sync_flagship(spark, sf_dir):
-    return pipeline.sync_view(_matched(spark, sf_dir))
+    return sync_job.sync_view(_matched(spark, sf_dir))
 
 
 @query
@@ -378,18 +378,18 @@ def stream_snapshot(spark, sf_dir):
 
 
 @query
-def sync_pipeline(spark, sf_dir):
+def sync_two_runs(spark, sf_dir):
     """Two runs of the whole job over landed text of both systems, then results; the history they leave.
 
     The first run takes in what was modified before the first cut, the second all of it.
     """
-    tables = Tables(spark, work_folder(spark, "pipeline"))
+    tables = Tables(spark, work_folder(spark, "two-runs"))
     sides = [_changes(spark, sf_dir, s) for s in (SYSTEM_A, SYSTEM_B)]
     first = [side.where(F.col(s.modified) < times.at(FIRST_CUT)) for side, s in zip(sides, (SYSTEM_A, SYSTEM_B))]
     for run_id, changes, as_of in ((1, first, AS_OF_1), (2, sides, AS_OF_2)):
         landed = [landed_text(side, s) for side, s in zip(changes, (SYSTEM_A, SYSTEM_B))]
-        pipeline.sync_run(tables, *landed, run_id=run_id, as_of=as_of)
+        sync_job.sync_run(tables, *landed, run_id=run_id, as_of=as_of)
     for run_id, system in ((3, SYSTEM_A), (4, SYSTEM_B)):
         results = view(spark, sf_dir, f"push_results_{system.name}")
-        pipeline.take_results(tables, results, system, run_id, AS_OF_2)
-    return pipeline.full_history(tables)
+        sync_job.take_results(tables, results, system, run_id, AS_OF_2)
+    return sync_job.full_history(tables)

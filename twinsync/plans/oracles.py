@@ -111,6 +111,7 @@ def _accepted(system: str, texts: dict[str, str]) -> str:
         where {_reason(system)} is null"""
 
 
+# The words read as digits.
 _WORDS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")
 
 
@@ -121,12 +122,20 @@ def _digits(text: str) -> str:
     return text
 
 
+# All card formats in the order they are tried.
+_CARD_FORMATS = (
+    r"\b(?:\d[ -]*?){13,16}\b",
+    r"\b4\d{12,18}\b",
+    r"\b(?:5[1-5]\d{14}|2[2-7][0-9]{14})\b",
+    r"\b3[47]\d{13}\b",
+    r"\b(?:6011|65|64[4-9])\d{12}\b",
+    r"\b35\d{14}\b",
+    r"\b(?:\d{4}[- ]?){3}\d{4}[- ]?\d{4}[- ]?\d{4}\b",
+)
+
+
 def _cards(text: str) -> str:
-    formats = (
-        r"\b(?:\d[ -]*?){13,16}\b|\b4\d{12,18}\b|\b(?:5[1-5]\d{14}|2[2-7][0-9]{14})\b|\b3[47]\d{13}\b"
-        r"|\b(?:6011|65|64[4-9])\d{12}\b|\b35\d{14}\b|\b(?:\d{4}[- ]?){3}\d{4}[- ]?\d{4}[- ]?\d{4}\b"
-    )
-    return f"regexp_replace({text}, '{formats}', '[REDACTED]', 'g')"
+    return f"regexp_replace({text}, '{'|'.join(_CARD_FORMATS)}', '[REDACTED]', 'g')"
 
 
 def _status(code: str) -> str:
@@ -270,7 +279,7 @@ QUERIES = {
     "scd2_close": f"select {_HISTORY} from closed",
     "scd2_untouched": f"select {_HISTORY} from untouched",
     "scd2_apply": _whole_history(""),
-    "sync_pipeline": _whole_history("run_"),
+    "sync_two_runs": _whole_history("run_"),
     "field_deltas_long_a": "select unified_contact_id, a_id, field, value from deltas_a",
     "field_deltas_long_b": "select unified_contact_id, b_id, field, value from deltas_b",
     "outbox_a": "select * from outbox_a",

@@ -69,8 +69,11 @@ class Tables:
 
     def replace(self, name: str, rows: DataFrame, run_id: int | None = None) -> DataFrame:
         """Writes a run's version of a state, or just the next one, and returns it."""
+        newest = max(map(_run, self._committed(f"{self.root}/{name}/version=*")), default=0)
         if run_id is None:
-            run_id = max(map(_run, self._committed(f"{self.root}/{name}/version=*")), default=0) + 1
+            run_id = newest + 1
+        elif run_id < newest:
+            raise ValueError(f"run {run_id} comes after run {newest} has written {name}; run ids must grow")
         target = f"{self.root}/{name}/version={run_id}"
         rows.write.mode("overwrite").parquet(target)
         return self.spark.read.schema(rows.schema).parquet(target)
