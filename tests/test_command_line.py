@@ -1,7 +1,6 @@
 import json
 
 from conftest import day
-from pyspark.sql import functions as F
 
 from twinsync.__main__ import main, read_rules
 from twinsync.rules import CONTACT_RULES

@@ -2,7 +2,7 @@ import json
 from dataclasses import replace
 
 import pytest
-from conftest import a_rows, as_dicts, b_rows, day
+from conftest import a_rows, b_rows, day
 from pyspark.sql import functions as F
 
 from twinsync import schemas

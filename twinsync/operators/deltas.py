@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,24 +28,15 @@ def _needs_update(rule: FieldRule, source: System, target: System, conflict: str
     return differs
 
 
-def updates_for(
-    target: System,
-    conflict: str = "both",
-    empty_is_null: bool = False,
-    entity: Entity = CONTACTS,
-) -> Column:
-    """The list of updates that a matched record has for the target.
-
-    ``overwrite`` fires when both values are known and differ, ``fill_if_missing`` when only the source
-    has one.  With ``conflict="both"`` a two-way overwrite sends each side the other's value;
-    ``"newest"`` sends only the newer record's, A's on equal times.  ``empty_is_null`` lets fill treat
-    the empty string as missing.
-    """
+def _updates(
+    target: System, conflict: str, empty_is_null: bool, entity: Entity
+) -> list[tuple[Column, str, Column]]:
+    """Condition, target field and new value per rule that can send something to the target."""
     if conflict not in ("both", "newest"):
         raise ValueError(f"unknown conflict mode {conflict!r}")
     source = entity.partner(target)
     updates = [
-        update_if(
+        (
             _needs_update(rule, source, target, conflict, empty_is_null),
             rule.column(target),
             F.col(source.matched(rule.column(source))),
@@ -52,7 +46,25 @@ def updates_for(
     ]
     if not updates:
         raise ValueError(f"no rule sends anything to system {target.name}")
-    return update_list(updates)
+    return updates
+
+
+def updates_for(
+    target: System, conflict: str = "both", empty_is_null: bool = False, entity: Entity = CONTACTS
+) -> Column:
+    """The list of updates that a matched record has for the target; null when there is none.
+
+    ``overwrite`` fires when both values are known and differ, ``fill_if_missing`` when only the source
+    has one.  With ``conflict="both"`` a two-way overwrite sends each side the other's value;
+    ``"newest"`` sends only the newer record's, A's on equal times.  ``empty_is_null`` lets fill treat
+    the empty string as missing.
+    """
+    updates = _updates(target, conflict, empty_is_null, entity)
+    return F.when(_any(updates), update_list([update_if(*update) for update in updates]))
+
+
+def _any(updates: list[tuple[Column, str, Column]]) -> Column:
+    return reduce(or_, (condition for condition, _, _ in updates))
 
 
 def field_deltas(
@@ -64,10 +76,12 @@ def field_deltas(
 ) -> DataFrame:
     """Unified id, target id and updates of every record the target should change.
 
-    A projection and a filter of the matched frame; no shuffle.
+    A filter and a projection of the matched frame, without a shuffle.  The filter tests the rules'
+    conditions alone, so lists are built only for the rows that stay.
     """
-    updates = updates_for(target, conflict, empty_is_null, entity)
-    return matched.select(UNIFIED_ID, target.id, updates.alias("updates")).where(F.size("updates") > 0)
+    updates = _updates(target, conflict, empty_is_null, entity)
+    listed = update_list([update_if(*update) for update in updates])
+    return matched.where(_any(updates)).select(UNIFIED_ID, target.id, listed.alias("updates"))
 
 
 def deltas_long(deltas: DataFrame, target: System) -> DataFrame:

@@ -30,8 +30,7 @@ def sync_view(matched: DataFrame, entity: Entity = CONTACTS) -> DataFrame:
     """What a run would do, in one projection: unified record, checksum, and the patch for either side."""
 
     def patch(target: System) -> Column:
-        updates = deltas.updates_for(target, entity=entity)
-        return F.when(F.size(updates) > 0, to_patch(updates)).alias(f"{target.name}_payload")
+        return to_patch(deltas.updates_for(target, entity=entity)).alias(f"{target.name}_payload")
 
     unified = match.survivors(entity)
     return matched.select(

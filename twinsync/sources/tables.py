@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from twinsync import schemas
 from twinsync.rules import CONTACTS, Entity
