@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from twinsync.llm import exact_dedup, sharding
+from twinsync.llm import decontamination, exact_dedup, packing, sharding
 from twinsync.llm.common import table
 
+TOKENIZER = "byte_bpe_50k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -21,7 +23,16 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op3_exact_dedup, op5_sharding)
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.mark_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("matches")
+
+
+_ALL = (op3_exact_dedup, op5_sharding, op6_packing, op7_decontamination)
 
 OP3_SQL = """
 with d as (select doc_id, coalesce(text, '') as text from documents)
