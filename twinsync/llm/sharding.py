@@ -150,6 +150,7 @@ def shard_by_bytes(
         F.min("start").alias("group_start"), F.sum(F.col("size") * F.col("copies")).alias("group_bytes"),
         F.sum("copies").alias("group_rows"),
     ).where(F.col("group_rows") > 1)
+    groups = stored(groups, "shard-groups")  # so that the join below deals out both sides, and may split a large group
     rows = placed.join(groups, "key", "left").select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
     )
