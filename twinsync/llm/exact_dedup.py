@@ -101,6 +101,7 @@ def mark_copies(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     groups = named.groupBy("n_blocks", "name").agg(
         F.max(F.struct("doc_id", "row")).alias("keep"), F.count(F.lit(1)).alias("group_size")
     )
+    groups = stored(groups, "groups")  # so that the join deals out both sides, and may split a large group
     return named.join(groups, ["n_blocks", "name"]).select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256",
