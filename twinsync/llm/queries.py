@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from twinsync.llm import decontamination, exact_dedup, packing, sharding
+from twinsync.llm import decontamination, exact_dedup, ngram_join, packing, sharding
 from twinsync.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -32,7 +32,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("matches")
 
 
-_ALL = (op3_exact_dedup, op5_sharding, op6_packing, op7_decontamination)
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.mark_groups(table(spark, sf_dir, "documents"))
+
+
+_ALL = (op3_exact_dedup, op5_sharding, op6_packing, op7_decontamination, op10_ngram_join)
 
 OP3_SQL = """
 with d as (select doc_id, coalesce(text, '') as text from documents)
