@@ -24,7 +24,7 @@ from twinsync.llm.tokens import Ids
 
 CAPACITY = 1024
 END_ID = 2
-BUCKET_PIECES = 100_000
+BUCKET_PIECES = 1000
 
 _PIECE = pa.schema([
     ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
@@ -147,10 +147,10 @@ def pack(
     """
     pieces = stored(token_pieces(docs, tokenizer, capacity, end_id).withColumn("row", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
-    buckets = max(counts.values(), default=1) // bucket_pieces + 1
+    buckets = F.lit([counts.get(n, 0) // bucket_pieces + 1 for n in range(capacity + 1)])
     plan = pieces.sparkSession.sparkContext.broadcast(best_fit_plan(counts, capacity))
 
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)))
+    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("row"), F.get(buckets, F.col("length").cast("int"))))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = dealt.groupBy("length", "bucket").count().select(
         "length", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before")
