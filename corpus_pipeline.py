@@ -2,19 +2,49 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from twinsync.llm import exact_dedup
+from twinsync.llm import decontamination, exact_dedup, ngram_join, packing, quality
 from twinsync.llm.common import stored, table
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
     return exact_dedup.drop_copies(docs)
 
 
-STAGES = [("exact dedup", drop_exact_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that Jaccard similarity links."""
+    return ngram_join.keep_one_of_each(docs, words=5, percent=80)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark."""
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences: where each piece of each document stands."""
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("exact dedup", drop_exact_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("best-fit packing", pack),
+]
 
-# The classifier, the join and the tokens are beyond SQL.
+# The classifier, the suffix arrays and the tokens are beyond SQL.
 ORACLE_SQL = None
 
 

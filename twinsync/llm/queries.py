@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from twinsync.llm import decontamination, exact_dedup, ngram_join, packing, sharding
+from twinsync.llm import decontamination, exact_dedup, language, ngram_join, packing, quality, sharding
 from twinsync.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -15,10 +15,18 @@ TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
@@ -36,7 +44,9 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.mark_groups(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op3_exact_dedup, op5_sharding, op6_packing, op7_decontamination, op10_ngram_join)
+_ALL = (
+    op1_language_id, op3_exact_dedup, op4_quality, op5_sharding, op6_packing, op7_decontamination, op10_ngram_join,
+)
 
 OP3_SQL = """
 with d as (select doc_id, coalesce(text, '') as text from documents)
