@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from twinsync.llm import decontamination, exact_dedup, language, ngram_join, packing, quality, sharding
+from twinsync.llm import decontamination, exact_dedup, language, line_dedup, ngram_join, packing, quality, sharding
 from twinsync.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -40,12 +40,17 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("matches")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.mark_groups(table(spark, sf_dir, "documents"))
 
 
 _ALL = (
-    op1_language_id, op3_exact_dedup, op4_quality, op5_sharding, op6_packing, op7_decontamination, op10_ngram_join,
+    op1_language_id, op3_exact_dedup, op4_quality, op5_sharding, op6_packing, op7_decontamination,
+    op8_line_dedup, op10_ngram_join,
 )
 
 OP3_SQL = """
@@ -55,10 +60,34 @@ select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
 from d window w as (partition by text)
 """
 
+OP8_SQL = """
+with l as (
+  select doc_id, line, row_number() over (partition by doc_id order by spot) - 1 as p, spot
+  from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as spot from documents)
+  where trim(line) <> ''
+), w as (
+  select doc_id, p, [line, lead(line) over d, lead(line, 2) over d] as run, lead(p, 2) over d as last
+  from l window d as (partition by doc_id order by p)
+), f as (
+  select doc_id, p, first_value(doc_id) over g as d0, first_value(p) over g as p0
+  from w where last is not null window g as (partition by run order by doc_id, p)
+), r as (
+  select distinct doc_id, p + i as p from f, (values (0), (1), (2)) t(i) where doc_id <> d0 or p >= p0 + 3
+), gone as (select l.doc_id, l.spot from l join r using (doc_id, p)),
+whole as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as spot from documents
+)
+select whole.doc_id, count(*) filter (trim(line) <> '') as n_lines, count(gone.spot) as n_removed,
+       sha256(coalesce(string_agg(line, chr(10) order by whole.spot) filter (gone.spot is null), '')) as text_sha256
+from whole left join gone on whole.doc_id = gone.doc_id and whole.spot = gone.spot group by whole.doc_id
+"""
+
 
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in _ALL}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3_SQL}
+    return {"op3_exact_dedup": OP3_SQL, "op8_line_dedup": OP8_SQL}
