@@ -75,7 +75,7 @@ def _frequent(docs: DataFrame, words: int, percent: int) -> np.ndarray:
     counts = docs.select("text").mapInArrow(firsts, "shingle bigint").groupBy("shingle").count()
     most = counts.where(F.col("count") >= COMMON_FROM).orderBy(F.desc("count"), "shingle").limit(COMMON_MOST)
     # One table, read back in parts: no more than COMMON_MOST numbers come to the driver.
-    return np.sort(stored(most.select("shingle"), "frequent").toPandas()["shingle"].to_numpy(dtype=np.int64).view(np.uint64))
+    return np.sort(stored(most.select("shingle"), "frequent").toArrow()["shingle"].to_numpy().view(np.uint64))
 
 
 def _nodes(docs: DataFrame, words: int, percent: int) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from twinsync.llm import decontamination, exact_dedup, language, line_dedup, ngram_join, packing, quality, sharding
+from twinsync.llm import decontamination, exact_dedup, language, line_dedup, lm_scoring, ngram_join, packing, quality, sharding
 from twinsync.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -19,6 +19,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled good."""
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return lm_scoring.score(table(spark, sf_dir, "documents"), good)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
@@ -49,7 +55,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = (
-    op1_language_id, op3_exact_dedup, op4_quality, op5_sharding, op6_packing, op7_decontamination,
+    op1_language_id, op2_lm_scoring, op3_exact_dedup, op4_quality, op5_sharding, op6_packing, op7_decontamination,
     op8_line_dedup, op10_ngram_join,
 )
 
