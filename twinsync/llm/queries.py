@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from twinsync.llm import decontamination, exact_dedup, language, line_dedup, lm_scoring, ngram_join, packing, quality, sharding
+from twinsync.llm import chat_format, decontamination, exact_dedup, language, line_dedup, lm_scoring, ngram_join, packing, quality, sharding
 from twinsync.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -50,13 +50,17 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.mark_groups(table(spark, sf_dir, "documents"))
 
 
 _ALL = (
     op1_language_id, op2_lm_scoring, op3_exact_dedup, op4_quality, op5_sharding, op6_packing, op7_decontamination,
-    op8_line_dedup, op10_ngram_join,
+    op8_line_dedup, op9_chat_format, op10_ngram_join,
 )
 
 OP3_SQL = """
