@@ -25,17 +25,22 @@ def _toward_least(links: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
+def contracted(links: DataFrame) -> DataFrame:
+    """Links (a, b; a > b) that connect the same nodes, pulled toward the least of each neighbourhood once."""
+    links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    large = stored(_toward_least(links, True), "links")
+    return stored(_toward_least(large, False), "links")
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``label`` for every node of ``links`` (a, b): the least node that its links lead to.
 
-    Alternates two moves that pull neighbours toward the least of them until every link leads straight there; a few
-    passes for star-like groups, and about the square of the logarithm of a group's size at worst.
+    Contracts until every link leads straight there; a few passes for star-like groups, and about the square of the
+    logarithm of a group's size at worst.
     """
-    links = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
     mark = None
     while True:
-        large = stored(_toward_least(links, True), "links")
-        links = stored(_toward_least(large, False), "links")
+        links = contracted(links)
         now = links.agg(
             F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"), F.countDistinct("a").alias("d")
         ).first()

@@ -10,7 +10,8 @@ d(x, y) = 1 - |x and y| / |x or y| is a metric.  Two documents link at d <= r.
 2. **Recursion on document pivots.**  A region takes one of its documents as pivot p.  The triangle inequality leaves:
    those within r of p (linked through p already), those within 2r (these alone can link to the former), and the far.
    Far and near-but-unlinked ones form a region of their own; linked and near ones form another.  Both go on with new
-   pivots.  A region whose documents are all in one component is done, and small regions compare what is left.
+   pivots.  Regions with one pivot go on as one cell; a cell whose documents are all in one component is done, and small
+   cells compare what is left.
 3. **Distances.**  A parity sketch of the set keeps or shortens distances; pairs it leaves are counted exactly.
 
 Equal sets are one node throughout.  Order and pivots affect the work, never the result.
@@ -27,12 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinsync.llm.common import stored, whole_text
-from twinsync.llm.components import components
+from twinsync.llm.components import components, contracted
 from twinsync.llm.shingles import Shingler, common, identity, sketch, sketch_distance
 
 WORDS, PERCENT = 4, 85
 COMMON_FROM, COMMON_MOST = 8, 1 << 20
-LEAF = 16
+LEAF = 24
 
 
 def _prefix(n: int, percent: int) -> int:
@@ -110,16 +111,26 @@ def _nodes(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _regions(nodes: DataFrame, percent: int) -> DataFrame:
-    """Rows (key, id, n): the regions of at least two nodes, cut into bands of size."""
+    """Cells (pivot, id) of the regions of at least two nodes, cut into bands of size."""
     spread = nodes.select("id", "n", F.explode("firsts").alias("shingle"))
     shared = spread.groupBy("shingle").count().where("count > 1").select("shingle")
     spread = spread.join(shared, "shingle")
     step = math.log(100 / (percent - 0.1))
     band = F.floor(F.log("n") / F.lit(step))
     banded = spread.select("id", "n", "shingle", F.explode(F.array(band, band + 1)).alias("band"))
-    banded = stored(banded.select(F.xxhash64("shingle", "band").alias("key"), "id", "n"), "banded")
-    several = stored(banded.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "several")
-    return stored(banded.join(several, "key"), "regions")
+    banded = stored(banded.select(F.xxhash64("shingle", "band").alias("key"), "id"), "banded")
+    return _cells(banded.withColumn("turn", F.lit(0)))
+
+
+def _cells(regions: DataFrame) -> DataFrame:
+    """Rows (pivot, id) of regions (key, id, turn): each takes its least document, by turn and id, as pivot.
+
+    Near copies share most of their nearest pivots, so most regions hold nearly the same documents.  Those that take the
+    same pivot become one cell; that adds pairs to look at, and loses none.  Regions of a single document are left out.
+    """
+    pivots = regions.groupBy("key").agg(F.min(F.struct("turn", "id")).alias("least"), F.count(F.lit(1)).alias("size"))
+    pivots = stored(pivots.where("size > 1").select("key", F.col("least.id").alias("pivot")), "pivots")
+    return stored(regions.join(pivots, "key").select("pivot", "id").distinct(), "cells")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -180,55 +191,54 @@ def _compare(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
 
 
 def _join_regions(docs: DataFrame, nodes: DataFrame, words: int, percent: int, leaf: int) -> DataFrame:
-    """Labels (node, label) of all nodes that link to another."""
+    """Labels (node, label) of all nodes that link to another.
+
+    Between rounds, components are only pulled together by one pass: that may leave a finished region open, never
+    close an open one.
+    """
     nodes = nodes.select("id", "n", "sketch", "t1", "t2", "firsts")
-    open_ = _regions(nodes, percent).select("key", "id", F.lit(0).alias("turn"))
-    sets = _sets(docs, nodes, open_.select("id").distinct(), words)
-    labels = docs.sparkSession.createDataFrame([], "node bigint, label bigint")
+    cells = _regions(nodes, percent)
+    sets = _sets(docs, nodes, cells.select("id").distinct(), words)
+    links = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
     known, round_ = None, 0
     while True:
-        # Regions in one component are done; the others take a pivot, or compare all if they are small.
-        labelled = open_.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
-            "key", "id", "turn", F.coalesce("label", "id").alias("label")
-        )
-        labelled = stored(labelled, "labelled")
-        shape = labelled.groupBy("key").agg(
-            F.min(F.struct("turn", "id", "label")).alias("pivot"), F.count(F.lit(1)).alias("size"),
-            F.min("label").alias("least"), F.max("label").alias("most"),
-        ).where("least <> most")
-        shape = stored(shape.select("key", "size", F.col("pivot.id").alias("pivot")), "shape")
-        small = F.col("size") <= leaf if round_ else F.lit(False)
-        members = stored(labelled.join(shape.withColumn("small", small), "key"), "members")
+        # Cells in one component are done; the others compare all with the pivot, or all pairs if they are small.
+        labels = links.groupBy("a").agg(F.min("b").alias("label")).withColumnRenamed("a", "id")
+        labelled = cells.join(labels, "id", "left").select("pivot", "id", F.coalesce("label", "id").alias("label"))
+        labelled = stored(labelled, "labelled") if round_ else labelled
+        small = F.count(F.lit(1)) <= leaf if round_ else F.lit(False)
+        shape = labelled.groupBy("pivot").agg(small.alias("small"), F.min("label").alias("least"), F.max("label").alias("most"))
+        shape = stored(shape.where("least <> most").select("pivot", "small"), "shape")
+        members = stored(labelled.join(shape, "pivot"), "members")
         if members.isEmpty():
-            return labels
+            return components(links)
         stars = members.where(~F.col("small") & (F.col("id") != F.col("pivot"))).select(
             F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")
         )
-        leaves = members.where("small").select("key", "id", "label")
-        left, right = leaves.toDF("key", "a", "label_a"), leaves.toDF("key", "b", "label_b")
-        crossed = left.join(right, "key").where("a > b and label_a <> label_b").select("a", "b")
-        pairs = stars.union(crossed).distinct()
+        leaves = members.where("small").select("pivot", "id", "label")
+        left, right = leaves.toDF("pivot", "a", "label_a"), leaves.toDF("pivot", "b", "label_b")
+        crossed = left.join(right, "pivot").where("a > b and label_a <> label_b").select("a", "b")
+        pairs = (stars.union(crossed) if round_ else stars).distinct()
         if known is not None:
             pairs = pairs.join(known, ["a", "b"], "left_anti")
         found = stored(_compare(stored(pairs, "pairs"), nodes, sets, percent), "compared")
         known = found if known is None else known.unionByName(found)
-        links = found.where("linked").select("a", "b")
-        if not links.isEmpty():
-            labels = components(links.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
-
-        # What stands where, seen from the pivot; small regions are through.
-        seen = members.where(~F.col("small")).withColumns({
-            "a": F.greatest("id", "pivot"), "b": F.least("id", "pivot")
-        }).where("id <> pivot").join(known, ["a", "b"])
-        beyond = seen.where(~F.col("linked")).select(F.xxhash64("key", "pivot", F.lit(1)).alias("key"), "id", F.lit(0).alias("turn"))
+        links = contracted(links.union(found.where("linked").select("a", "b")))
+
+        # What stands where, seen from the pivot; small cells are through.
+        seen = members.where(~F.col("small") & (F.col("id") != F.col("pivot"))).select(
+            "id", "pivot", F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")
+        )
+        seen = stored(seen.join(known, ["a", "b"]).select("id", "pivot", "linked", "far"), "seen")
+        beyond = seen.where(~F.col("linked")).select(F.xxhash64("pivot", F.lit(1)).alias("key"), "id", F.lit(0).alias("turn"))
         shell = seen.where(~F.col("linked") & ~F.col("far"))
-        ball = seen.where("linked").join(shell.select("key").distinct(), "key", "left_semi")
+        ball = seen.where("linked").join(shell.select("pivot").distinct(), "pivot", "left_semi")
         around = ball.withColumn("turn", F.lit(1)).unionByName(shell.withColumn("turn", F.lit(0))).select(
-            F.xxhash64("key", "pivot", F.lit(2)).alias("key"), "id", "turn"
+            F.xxhash64("pivot", F.lit(2)).alias("key"), "id", "turn"
         )
-        open_ = stored(beyond.union(around), "open")
+        cells = _cells(stored(beyond.union(around), "open"))
         round_ += 1
-        leaf *= 2 if round_ > 2 else 1
+        leaf *= 3 if round_ > 1 else 1  # so that there are no more rounds than a logarithm of the largest cell
 
 
 def _grouped(docs: DataFrame, words: int, percent: int, leaf: int) -> DataFrame:
