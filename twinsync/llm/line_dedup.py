@@ -7,7 +7,7 @@ ways: each run of lines that holds the position is compared, and what equals an
 Overlapping repeats make up the longest repeated stretch, which is deleted.
 
 All of it is built-in expressions; nothing is gathered by line, so a line that stands everywhere is summed up before it
-is shuffled and its joins can be split.
+is shuffled and its joins can be split.  The joins are merge joins at every size, as no side has a bound.
 """
 
 from __future__ import annotations
@@ -59,7 +59,7 @@ def _repeats(described: DataFrame, run: int) -> DataFrame:
         F.slice("hashes", near + 1, F.lit(2 * run - 1) - (near - F.col("at") + run - 1)).alias("around"),
     )
     several = marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark")
-    marks = marks.join(stored(several, "marks"), "mark")
+    marks = marks.join(stored(several, "marks").hint("merge"), "mark")
     starts = F.sequence(F.lit(0), F.size("around") - run)
     runs = marks.select("doc_id", "row", "from", "around", F.explode(starts).alias("i")).select(
         "doc_id", "row", (F.col("from") + F.col("i")).alias("start"), F.slice("around", F.col("i") + 1, run).alias("run")
@@ -70,7 +70,7 @@ def _repeats(described: DataFrame, run: int) -> DataFrame:
     runs = stored(runs, "runs")
     first = runs.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"), F.count(F.lit(1)).alias("n"))
     first = stored(first.where("n > 1").select("k1", "k2", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")), "firsts")
-    later = runs.join(first, ["k1", "k2"]).where(
+    later = runs.join(first.hint("merge"), ["k1", "k2"]).where(
         (F.col("row") != F.col("first_row")) | (F.col("start") >= F.col("first_start") + run)
     )
     covered = later.select("row", F.explode(F.sequence(F.col("start"), F.col("start") + run - 1)).alias("line"))
@@ -90,7 +90,7 @@ def remove_repeats(docs: DataFrame, run: int = RUN, keep: list[str] | None = Non
     keep = keep or ["doc_id"]
     described = _described(docs, run, keep)
     removed = stored(_repeats(described, run), "removed")
-    joined = described.select("doc", "text", "places", "row").join(removed, "row", "left")
+    joined = described.select("doc", "text", "places", "row").join(removed.hint("merge"), "row", "left")
     gone = F.transform("removed", lambda i: F.get("places", i))
     left = F.filter(_lines(F.col("text")), lambda line, i: ~F.array_contains(gone, i))
     return joined.select(
