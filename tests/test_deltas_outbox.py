@@ -110,10 +110,10 @@ def results(spark, *rows):
 
 def test_next_batch(box):
     batch = outbox.next_batch(box, SYSTEM_A, size=5)
-    assert [r["unified_contact_id"] for r in batch.rows.orderBy("unified_contact_id").collect()] == ["u1", "u2", "u3", "u4", "u5"]
+    assert [r["unified_contact_id"] for r in batch.rows.orderBy("unified_contact_id").collect()] == ["u1", "u3", "u4", "u5", "u6"]
     requests = {r["a_id"]: r["properties"] for r in batch.requests.collect()}
-    assert requests == {"1": {"x": "1"}, "2": {"x": "2"}, "3": {"x": "3"}, "4": {}}
-    assert [r["unified_contact_id"] for r in batch.undeliverable.collect()] == ["u5"]
+    assert requests == {"1": {"x": "1"}, "3": {"x": "3"}, "4": {}}
+    assert {r["unified_contact_id"] for r in batch.undeliverable.collect()} == {"u5", "u6"}
     assert outbox.next_batch(box, SYSTEM_A, size=None).rows.count() == 6
     assert {r["unified_contact_id"] for r in outbox.undeliverable(outbox.pending(box), SYSTEM_A).collect()} == {"u5", "u6"}
 
@@ -143,7 +143,7 @@ def test_two_results_for_one_id_fail(spark, box):
 def test_batch_results(spark, box):
     batch = outbox.next_batch(box, SYSTEM_A, size=2)
     after = outbox.apply_results(box, outbox.batch_results(batch, SYSTEM_A, 200, "ok"), SYSTEM_A, day(9))
-    assert {r["unified_contact_id"] for r in after.where("status = 'SUCCESS'").collect()} == {"u1", "u2", "u7"}
+    assert {r["unified_contact_id"] for r in after.where("status = 'SUCCESS'").collect()} == {"u1", "u3", "u7"}
     audit = state.audit_pushed_batch(batch.requests, SYSTEM_A, day(9), 200, "ok").first()
     assert (audit["message"], audit["status"], audit["http_code"]) == ("Pushed 2 records", "SUCCESS", 200)
     failed = state.audit_pushed_batch(batch.requests, SYSTEM_A, day(9), 503, "busy").first()
@@ -185,3 +185,23 @@ def test_rows_without_an_id_spread_over_the_join(spark):
             spark.conf.set(k, v)
     assert counts == {"SUCCESS": 1000, "FAILED": 2000, "PENDING": 1000}
     assert len(sizes) == 4 and max(r["count"] for r in sizes) < 700
+
+
+def test_rows_to_try_again_block_no_others(spark):
+    rows = [(f"u{i:03}", str(i), "{}", "PENDING", 0, None) for i in range(7)]
+    box = spark.createDataFrame(rows, schemas.outbox(SYSTEM_A))
+    told = results(spark, *((str(i), 503, "busy") for i in range(5)))
+    after = outbox.apply_results(box, told, SYSTEM_A, day(9))
+    assert {r["a_id"] for r in outbox.take_pending(after, 2).collect()} == {"5", "6"}
+    assert outbox.next_batch(after, SYSTEM_A).rows.count() == 7
+
+
+def test_an_unreadable_patch_fails_with_a_letter(spark):
+    rows = [("u1", "1", '{"x":', "PENDING", 0, None), ("u2", "2", " ", "PENDING", 0, None)]
+    box = spark.createDataFrame(rows, schemas.outbox(SYSTEM_A))
+    batch = outbox.next_batch(box, SYSTEM_A)
+    assert [r["a_id"] for r in batch.requests.collect()] == ["2"]
+    letter = state.undeliverable_letters(batch.undeliverable, SYSTEM_A, day(9)).first()
+    assert (letter["key"], letter["reason"], letter["payload"]) == ("u1", "Unreadable payload", '{"x":')
+    after = outbox.apply_results(box, results(spark, ("1", 200, "ok")), SYSTEM_A, day(9))
+    assert after.where("a_id = '1'").first()["status"] == "FAILED"

@@ -140,3 +140,8 @@ def test_format_iso(spark):
 def test_request_id(spark):
     stamp = times.request_id("push", times.at(datetime(2001, 9, 1)))
     assert spark.range(1).select(stamp).first()[0] == "push-999302400"
+
+
+def test_only_dates_of_four_digit_years_are_times(spark):
+    raw = ["12:30:00", "T12:30:00Z", "99999-01-01T00:00:00Z", "+33000-01-01T00:00:00Z", "0000-01-01", "9999-12-31T23:59:59Z"]
+    assert apply(spark, times.parse_iso, raw) == [None] * 5 + [datetime(9999, 12, 31, 23, 59, 59)]

@@ -219,3 +219,10 @@ def test_another_entity(spark, tmp_path):
     assert json.loads(tables.state("gold/a_outbox").first()["payload"]) == {"title": "Y"}
     assert sync_job.full_history(tables).first()["size"] == "5"
     assert {r["entity"] for r in tables.log("meta/audit_log").collect()} == {"companies"}
+
+
+def test_a_record_without_a_time_is_rejected_only_beside_a_position(spark):
+    rows = landing.parse_records(landed(spark, {"id": "1", "properties": {"email": "a@b.c"}}), SYSTEM_A, day(9))
+    assert landing.accepted_records(rows, SYSTEM_A).count() == 1
+    letters = landing.rejected_letters(landing.sort_out(rows, SYSTEM_A, day(1)), SYSTEM_A, day(9))
+    assert [(r["key"], r["reason"]) for r in letters.collect()] == [("1", "Missing modified time")]

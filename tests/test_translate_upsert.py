@@ -104,3 +104,12 @@ def test_upsert_rejects_duplicate_source_keys(spark):
 def test_upsert_into_nothing(spark):
     source = frame(spark, ("b", 1, "x"))
     assert upsert.upsert_by_key(frame(spark, ("z", 0, "")).where("false"), source, ["k1", "k2"]).count() == 1
+
+
+def test_a_binding_that_meets_its_own_name_and_unreadable_patches(spark):
+    long, old = "i" * 32, "/accounts(old)"
+    texts = [f'{{"c@odata.bind":"{old}","c":"{long}"}}', f'{{"c":"{long}","c@odata.bind":"{old}"}}', '{"c":']
+    box = spark.createDataFrame([(f"u{i}", str(i), t) for i, t in enumerate(texts)], "unified_contact_id string, b_id string, payload string")
+    got = [r["payload"] for r in translate.bind_lookups(box, {"c": "accounts"}).orderBy("b_id").collect()]
+    assert [json.loads(t) for t in got[:2]] == [{"c@odata.bind": f"/accounts({long})"}, {"c@odata.bind": old}]
+    assert got[2] == '{"c":'

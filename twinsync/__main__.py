@@ -19,7 +19,6 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from twinsync.functions.text import redact_text
-from twinsync.operators.outbox import BATCH_ROWS
 from twinsync.plans import sync_job
 from twinsync.rules import CONTACTS, Entity, FieldRule
 from twinsync.sources.tables import Tables
@@ -52,7 +51,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     sync.add_argument("--keep-unkeyed", action="store_true")
     for step in (push, results):
         step.add_argument("--system", choices=("a", "b"), required=True)
-    push.add_argument("--size", type=int, default=BATCH_ROWS, help="0 for all pending rows")
+    push.add_argument("--size", type=int, help="rows at most; all pending rows if not given")
     push.add_argument("--out", required=True)
     results.add_argument("--results", required=True, help="Parquet: target id, http_code, message")
     redact.add_argument("--text", required=True, help="Parquet")
@@ -77,7 +76,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         return
     target = entity.a if args.system == "a" else entity.b
     if args.step == "push":
-        sync_job.next_push(tables, target, args.size or None).requests.write.json(args.out)
+        sync_job.next_push(tables, target, args.size).requests.write.json(args.out)
     else:
         sync_job.take_results(tables, spark.read.parquet(args.results), target, args.run_id, args.as_of)
 

@@ -24,5 +24,19 @@ def to_patch(updates: Column) -> Column:
 
 
 def from_patch(payload: Column) -> Column:
-    """JSON object text to a map; null, empty or unreadable text gives the empty map."""
-    return F.coalesce(F.from_json(payload, "map<string,string>"), F.expr("cast(map() as map<string,string>)"))
+    """JSON object text to a map; null or blank text gives the empty map, unreadable text null."""
+    return _read(payload, "map<string,string>")
+
+
+def from_typed_patch(payload: Column) -> Column:
+    """As ``from_patch``, with values of any JSON type."""
+    return _read(payload, "map<string,variant>")
+
+
+def is_unreadable(payload: Column) -> Column:
+    return from_patch(payload).isNull()
+
+
+def _read(payload: Column, map_type: str) -> Column:
+    blank = payload.isNull() | (F.trim(payload) == "")
+    return F.when(blank, F.expr(f"cast(map() as {map_type})")).otherwise(F.from_json(payload, map_type))

@@ -19,10 +19,11 @@ def at(time: datetime | None) -> Column:
 
 
 def parse_iso(text: Column) -> Column:
-    """ISO-8601 text to UTC wall-clock time; null when it is not a time.
+    """ISO-8601 text to UTC wall-clock time; null when it is not a date of the years 0001 to 9999, with or without a time.
 
-    Text without a zone is read as UTC.  The session's time zone plays no part.
+    Text without a zone is read as UTC.  The session's time zone and its clock play no part.
     """
+    text = F.when(text.rlike(r"^(?!0000)\d{4}-\d{2}-\d{2}(?:[T ]|$)"), text)
     stamped = (
         F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(text, F.lit("T00:00:00Z")))
         .when(text.rlike(r"(?:Z|[+-]\d{2}:?\d{2})$"), text)

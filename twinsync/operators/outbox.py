@@ -9,19 +9,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinsync.functions.keys import is_missing
-from twinsync.functions.payloads import from_patch
+from twinsync.functions.payloads import from_patch, is_unreadable
 from twinsync.functions.times import at
 from twinsync.operators.upsert import reject_duplicates
 from twinsync.rules import UNIFIED_ID, System
 
-# Rows per push, and the response codes worth another attempt.
+# Rows that a bounded push of system A takes, and the response codes worth another attempt.
 BATCH_ROWS = 90
 RETRYABLE_CODES = (429, 500, 502, 503, 504)
 
 
 class Batch(NamedTuple):
     requests: DataFrame  # unified id, target id, properties (map)
-    undeliverable: DataFrame  # pending rows without a target id
+    undeliverable: DataFrame  # pending rows without a target id or a readable patch
     rows: DataFrame  # all rows taken
 
 
@@ -30,21 +30,29 @@ def pending(outbox: DataFrame) -> DataFrame:
 
 
 def deliverable(rows: DataFrame, target: System) -> DataFrame:
-    return rows.where(~is_missing(F.col(target.id)))
+    return rows.where(~_unsendable(target))
 
 
 def undeliverable(rows: DataFrame, target: System) -> DataFrame:
-    """Rows that name no record of the target, by a null or an empty id."""
-    return rows.where(is_missing(F.col(target.id)))
+    """Rows that name no record of the target, by a null or an empty id, or whose patch cannot be read."""
+    return rows.where(_unsendable(target))
 
 
-def take_pending(outbox: DataFrame, size: int | None = BATCH_ROWS) -> DataFrame:
-    """The next rows to push, smallest unified id first; ``size=None`` takes all."""
+def _unsendable(target: System) -> Column:
+    return is_missing(F.col(target.id)) | is_unreadable(F.col("payload"))
+
+
+def take_pending(outbox: DataFrame, size: int | None = None) -> DataFrame:
+    """The rows to push: all pending ones, or the next ``size``.
+
+    Rows tried least often come first, then those tried longest ago, so that rows to try again block no others.
+    """
     rows = pending(outbox)
-    return rows if size is None else rows.orderBy(UNIFIED_ID).limit(size)
+    order = [F.col("attempt").asc_nulls_first(), F.col("last_attempt_ts").asc_nulls_first(), F.col(UNIFIED_ID)]
+    return rows if size is None else rows.orderBy(*order).limit(size)
 
 
-def next_batch(outbox: DataFrame, target: System, size: int | None = BATCH_ROWS) -> Batch:
+def next_batch(outbox: DataFrame, target: System, size: int | None = None) -> Batch:
     """The next push, split into requests and rows that cannot be sent."""
     rows = take_pending(outbox, size)
     requests = deliverable(rows, target).select(UNIFIED_ID, target.id, from_patch(F.col("payload")).alias("properties"))
@@ -74,13 +82,13 @@ def apply_results(outbox: DataFrame, results: DataFrame, target: System, as_of:
     """The outbox after a push.
 
     Pending rows with a result take its status, one more attempt and the time.  Pending rows without a
-    target id fail, once and without an attempt.  All others stay.  Rows without an id join under their
+    target id or a readable patch fail, once and without an attempt.  All others stay.  Rows without an id join under their
     unified id, which spreads them; the test on the id keeps them unmatched.
     """
     unique = reject_duplicates(results.where(F.col(target.id).isNotNull()), [target.id], "the results")
     side = unique.select(F.col(target.id).alias("_result_id"), F.col("http_code").alias("_code"))
     open_row = F.col("status") == "PENDING"
-    missing = is_missing(F.col(target.id))
+    missing = _unsendable(target)
     key = F.coalesce(F.col(target.id), F.col(UNIFIED_ID)) == F.col("_result_id")
     joined = outbox.join(side, key & open_row & ~missing, "left")
 

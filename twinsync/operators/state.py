@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinsync import schemas
+from twinsync.functions.keys import is_missing
 from twinsync.functions.times import at, format_iso, request_id
 from twinsync.operators.outbox import outcome_status
 from twinsync.rules import CONTACTS, UNIFIED_ID, System
@@ -128,8 +129,9 @@ def dead_letters(
 def undeliverable_letters(
     rows: DataFrame, target: System, as_of: datetime, entity: str = CONTACTS.name
 ) -> DataFrame:
-    """Dead letters for outbox rows without a target id."""
-    return dead_letters(rows, target.name, as_of, F.col(UNIFIED_ID), F.lit(f"Missing {target.id}"), F.col("payload"), entity)
+    """Dead letters for outbox rows without a target id, or else without a readable patch."""
+    reason = F.when(is_missing(F.col(target.id)), f"Missing {target.id}").otherwise("Unreadable payload")
+    return dead_letters(rows, target.name, as_of, F.col(UNIFIED_ID), reason, F.col("payload"), entity)
 
 
 def failed_letters(

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from twinsync.functions.payloads import from_typed_patch
 from twinsync.operators.lookups import BROADCAST_BYTES, fits_broadcast, left_lookup
 from twinsync.rules import UNIFIED_ID
 
@@ -34,13 +35,13 @@ def translate_payload(
 
     ``option_sets`` maps fields to option sets: a label becomes its code, an unknown label stays.
     ``lookups`` maps fields to entities: an entity id becomes ``<field>@odata.bind`` with
-    ``/<entity>(<id>)``.  Other fields, nulls and values that are no text stay as they are.
+    ``/<entity>(<id>)``.  Other fields, nulls and values that are no text stay as they are.  Where a
+    binding meets a field of its name, the later one stays.  A patch that cannot be read stays as it is.
 
     Each option field is one lookup by its own label, so no row is exploded or regrouped.
     """
     option_sets, lookups = dict(option_sets or {}), dict(lookups or {})
-    patch = F.coalesce(F.from_json("payload", "map<string,variant>"), F.expr("cast(map() as map<string,variant>)"))
-    rows = outbox.withColumn("_patch", patch)
+    rows = outbox.withColumn("_patch", from_typed_patch(F.col("payload")))
 
     codes = {}
     if option_sets:
@@ -70,7 +71,12 @@ def translate_payload(
         return F.struct(new_key.alias("key"), new_value.alias("value"))
 
     entries = F.transform(F.map_entries("_patch"), lambda e: translated(e["key"], e["value"]))
-    payload = F.to_json(F.map_from_entries(entries))
+    rows = rows.withColumn("_entries", entries)
+    last = F.filter(
+        "_entries",
+        lambda e, i: ~F.exists(F.slice("_entries", i + 2, F.size("_entries")), lambda later: later["key"] == e["key"]),
+    )
+    payload = F.coalesce(F.to_json(F.map_from_entries(last)), F.col("payload"))
     return rows.select(*(payload.alias(c) if c == "payload" else F.col(c) for c in outbox.columns))
 
 

@@ -97,7 +97,7 @@ def ingest_b(spark, sf_dir):
 
 @query
 def ingest_dead_letter(spark, sf_dir):
-    batch = landing.sort_out(_parsed(spark, sf_dir, SYSTEM_A), SYSTEM_A)
+    batch = landing.sort_out(_parsed(spark, sf_dir, SYSTEM_A), SYSTEM_A, SINCE)
     return landing.rejected_letters(batch, SYSTEM_A, LOAD_TS)
 
 
@@ -257,7 +257,7 @@ def payload_explode(spark, sf_dir):
 
 @query
 def pending_outbox(spark, sf_dir):
-    rows = outbox.take_pending(_outbox(spark, sf_dir, SYSTEM_A))
+    rows = outbox.take_pending(_outbox(spark, sf_dir, SYSTEM_A), outbox.BATCH_ROWS)
     return rows.select(UNIFIED_ID, "a_id", "payload", (~keys.is_missing(F.col("a_id"))).alias("deliverable"))
 
 

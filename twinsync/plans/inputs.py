@@ -69,6 +69,7 @@ VIEWS = {
     # Landed JSON of either system: unreadable text and times, time zones, absent attributes.
     "raw_a": """
         select case when event_id % 97 = 0 then '{"id":"' || cast(event_id as string)
+               when event_id % 89 = 0 then '{"id":"' || cast(event_id as string) || '","properties":{"email":"u0@example.org"}}'
                else '{"id":"' || cast(event_id as string) || '","properties":{"email":"u' || cast(user_id as string)
                 || '@example.org","jobtitle":"' || event_type || '","modified":"'
                 || case when event_id % 10 = 0 then 'not-a-time'

@@ -128,8 +128,8 @@ def _together(*steps: Callable[[], Any]) -> list[Any]:
         return [running.result() for running in [pool.submit(step) for step in steps]]
 
 
-def next_push(tables: Tables, target: System, size: int | None = outbox.BATCH_ROWS) -> outbox.Batch:
-    """What to send next."""
+def next_push(tables: Tables, target: System, size: int | None = None) -> outbox.Batch:
+    """What to send next: all pending rows, or a bounded batch."""
     return outbox.next_batch(tables.state(f"gold/{target.name}_outbox"), target, size)
 
 

@@ -54,11 +54,12 @@ def parse_records(landed: DataFrame, system: System, load_ts: datetime) -> DataF
     )
 
 
-def reject_reason(system: System) -> Column:
-    """Why a parsed row cannot be kept; null when it can."""
-    return F.when(F.col(system.id).isNull(), "Missing record id").when(
+def reject_reason(system: System, timed: bool = False) -> Column:
+    """Why a parsed row cannot be kept; null when it can.  Only where rows must be ``timed`` is a time required."""
+    reason = F.when(F.col(system.id).isNull(), "Missing record id").when(
         F.col("modified_text").isNotNull() & F.col(system.modified).isNull(), "Unreadable modified time"
     )
+    return reason.when(F.col("modified_text").isNull(), "Missing modified time") if timed else reason
 
 
 def modified_since(rows: DataFrame, modified: str, since: datetime | None) -> DataFrame:
@@ -77,10 +78,14 @@ def high_water(rows: DataFrame, modified: str) -> DataFrame:
 
 
 def sort_out(parsed: DataFrame, system: System, since: datetime | None = None) -> DataFrame:
-    """The rows of a landed batch as stored (``schemas.landed``): those to keep, and those rejected."""
+    """The rows of a landed batch as stored (``schemas.landed``): those to keep, and those rejected.
+
+    With a position, a record without a modified time stands neither before nor after it, and is rejected.
+    """
+    reason = reject_reason(system, timed=since is not None)
     marked = parsed.withColumns({
-        "reject_reason": reject_reason(system),
-        "rejected": reject_reason(system).isNotNull(),
+        "reject_reason": reason,
+        "rejected": reason.isNotNull(),
         "load_date": F.to_date("load_ts"),
     })
     if since is not None:
