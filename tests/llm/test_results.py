@@ -42,7 +42,7 @@ def fold(text):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(queries.all_sql()))
