@@ -3,7 +3,8 @@ import json
 from conftest import day
 
 from twinsync.__main__ import main, read_rules
-from twinsync.rules import CONTACT_RULES
+from twinsync.plans.sync_job import current_outbox
+from twinsync.rules import CONTACT_RULES, SYSTEM_A
 from twinsync.sources.tables import Tables
 from twinsync.streaming.incremental import land_text
 
@@ -33,7 +34,7 @@ def test_sync_push_results(spark, tmp_path):
 
     spark.createDataFrame([("1", 200, "ok")], "a_id string, http_code int, message string").write.parquet(told)
     main(["results", "--root", root, "--system", "a", "--results", told, "--run-id", "2", "--as-of", "2024-01-03"])
-    row = Tables(spark, root).state("gold/a_outbox").first()
+    row = current_outbox(Tables(spark, root), SYSTEM_A).first()
     assert (row["status"], row["attempt"], row["last_attempt_ts"]) == ("SUCCESS", 1, day(3))
 
 

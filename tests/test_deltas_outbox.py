@@ -140,14 +140,47 @@ def test_two_results_for_one_id_fail(spark, box):
         outbox.apply_results(box, told, SYSTEM_A, day(9)).collect()
 
 
-def test_batch_results(spark, box):
-    batch = outbox.next_batch(box, SYSTEM_A, size=2)
-    after = outbox.apply_results(box, outbox.batch_results(batch, SYSTEM_A, 200, "ok"), SYSTEM_A, day(9))
-    assert {r["unified_contact_id"] for r in after.where("status = 'SUCCESS'").collect()} == {"u1", "u3", "u7"}
-    audit = state.audit_pushed_batch(batch.requests, SYSTEM_A, day(9), 200, "ok").first()
-    assert (audit["message"], audit["status"], audit["http_code"]) == ("Pushed 2 records", "SUCCESS", 200)
-    failed = state.audit_pushed_batch(batch.requests, SYSTEM_A, day(9), 503, "busy").first()
-    assert (failed["message"], failed["status"], failed["http_code"]) == ("busy", "FAILED", 503)
+def stored_at(tmp_path, spark):
+    def store(rows):
+        rows.write.mode("overwrite").parquet(str(tmp_path / "placed"))
+        return spark.read.parquet(str(tmp_path / "placed"))
+
+    return store
+
+
+def test_batches_are_numbered_in_the_order_of_pushes(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 7).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("unified_contact_id"), F.col("id").cast("string").alias("a_id"),
+        F.lit("{}").alias("payload"), F.lit("PENDING").alias("status"), (F.col("id") % 3).cast("int").alias("attempt"),
+        F.when(F.col("id") % 2 == 0, F.lit("2024-01-01")).cast("timestamp_ntz").alias("last_attempt_ts"),
+    )
+    got = outbox.number_batches(rows, 90, stored_at(tmp_path, spark)).collect()
+    order = sorted(got, key=lambda r: (r["attempt"], r["last_attempt_ts"] is not None, r["unified_contact_id"]))
+    assert [r["batch"] for r in order] == [n // 90 for n in range(1000)]
+    assert outbox.number_batches(rows.where("false"), 90, stored_at(tmp_path, spark)).isEmpty()
+    with pytest.raises(ValueError):
+        outbox.number_batches(rows, 0, stored_at(tmp_path, spark))
+
+
+def test_batch_results(spark, box, tmp_path):
+    """A result holds for its whole batch; a batch without one stays as it is."""
+    sent = outbox.deliverable(outbox.pending(box), SYSTEM_A)
+    batches = outbox.number_batches(sent, 2, stored_at(tmp_path, spark))
+    requests = {r["batch"]: r for r in outbox.batch_requests(batches, SYSTEM_A).collect()}
+    assert [requests[n]["records"] for n in sorted(requests)][0] == 2
+    first = json.loads(requests[0]["body"])["inputs"]
+    assert [sorted(r) for r in first] == [["id", "properties"]] * 2
+    results = spark.createDataFrame([(0, 200, "ok"), (1, 503, "busy"), (None, 200, "none")], "batch bigint, http_code int, message string")
+    pushed = outbox.batch_outcomes(batches, results)
+    after = {r["unified_contact_id"]: r for r in outbox.settle(box, pushed, SYSTEM_A, day(9)).collect()}
+    code = {r["unified_contact_id"]: r["http_code"] for r in pushed.collect()}
+    assert {after[u]["status"] for u, c in code.items() if c == 200} == {"SUCCESS"}
+    assert {(after[u]["status"], after[u]["last_attempt_ts"]) for u, c in code.items() if c == 503} == {("PENDING", day(9))}
+    audit = {r["http_code"]: r for r in state.audit_pushed_batches(pushed, SYSTEM_A, day(9)).collect()}
+    assert (audit[200]["status"], audit[200]["message"]) == ("SUCCESS", "Pushed 2 records")
+    assert (audit[503]["status"], audit[503]["message"]) == ("FAILED", "busy")
+    with pytest.raises(Exception, match="share a key"):
+        outbox.batch_outcomes(batches, results.union(results)).collect()
 
 
 def test_audit_and_letters(spark, box):

@@ -8,7 +8,7 @@ from conftest import as_dicts, day
 from pyspark.sql import functions as F
 
 from twinsync import schemas
-from twinsync.operators import state
+from twinsync.operators import snapshot, state
 from twinsync.plans import sync_job
 from twinsync.rules import SYSTEM_A, SYSTEM_B, Entity, FieldRule, System
 from twinsync.session import work_folder
@@ -49,10 +49,48 @@ def test_parse_and_sort_out(spark):
     assert json.loads(first["raw"])["id"] == "1"
     letters = landing.rejected_letters(landing.sort_out(parsed, SYSTEM_A, day(2)), SYSTEM_A, day(9))
     assert sorted((r["reason"], r["key"] or "") for r in letters.collect()) == [
-        ("Missing record id", ""), ("Missing record id", ""), ("Unreadable modified time", "3"),
+        ("Missing modified time", "6"), ("Missing record id", ""), ("No document", ""), ("Unreadable modified time", "3"),
     ]
 
 
+WHOLE = '{"id":"1","properties":{"modified":"2024-01-01"}}'
+
+
+@pytest.mark.parametrize("text, fault", [
+    (WHOLE, None), (f" {WHOLE}\n ", None), ("{}", None), ('{"id":"1","_end":"x"}', None),
+    (f"{WHOLE} {WHOLE}", landing.MORE_TEXT), (f"{WHOLE},{WHOLE}", landing.MORE_TEXT), (f"{WHOLE}\n{WHOLE}", landing.MORE_TEXT),
+    (f"{WHOLE}]", landing.MORE_TEXT), (f'{WHOLE},{{"_end":"5"}}]', landing.MORE_TEXT), (f"{WHOLE}}}", landing.MORE_TEXT),
+    (f"{WHOLE} junk", landing.MORE_TEXT), (f"{WHOLE},", landing.MORE_TEXT),
+    ("", landing.NO_DOCUMENT), ("junk", landing.NO_DOCUMENT), (None, landing.NO_DOCUMENT), (WHOLE[:-5], landing.NO_DOCUMENT),
+    ("[]", landing.NO_DOCUMENT), (f"[{WHOLE}]", landing.NO_DOCUMENT), ("]", landing.NO_DOCUMENT), ("1", landing.NO_DOCUMENT),
+])
+def test_a_text_is_one_document(spark, text, fault):
+    row = landing.parse_records(spark.createDataFrame([(text,)], "raw string"), SYSTEM_A, day(1)).first()
+    assert row["fault"] == fault and row["raw"] == text
+    assert fault is None or row["a_id"] is None
+
+
+def test_pages(spark):
+    """Records in a list within a page, under names of the system's own."""
+    system = System(
+        "a", "a_id", "a_modified", "email", ("email", "phone"), nested="fields",
+        json_names={"a_id": "record.id", "a_modified": "@changed", "phone": "tel"}, records_at=("data", "items"),
+    )
+    record = lambda n: {"record.id": n, "fields": {"@changed": f"2024-01-0{n}", "tel": f"+{n}", "email": "e"}}
+    pages = landed(
+        spark, {"data": {"items": [record(1), record(2), None, 5], "next": {"link": "x"}}}, {"data": {"items": []}},
+        {"data": {"items": None}}, {"other": 1}, "junk", '{"data":{"items":[]}} {}',
+    )
+    rows = landing.parse_pages(pages, system, day(9))
+    assert [(r["a_id"], r["a_modified"], r["phone"]) for r in landing.kept(landing.sort_out(rows, system), system).orderBy("a_id").collect()] == [
+        ("1", day(1), "+1"), ("2", day(2), "+2"),
+    ]
+    assert sorted(r["fault"] for r in rows.where("fault is not null").collect()) == sorted(
+        [landing.NO_DOCUMENT] * 3 + [landing.NO_LIST] * 2 + [landing.MORE_TEXT]
+    )
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 2  # of the page, and of its records
+
+
 def test_each_text_is_parsed_once(spark):
     parsed = landing.parse_records(landed(spark, record_a("1", "x")), SYSTEM_A, day(1))
     plan = landing.accepted_records(parsed, SYSTEM_A, day(1))._jdf.queryExecution().optimizedPlan().toString()
@@ -74,34 +112,10 @@ def test_watermarks(spark):
     ], schemas.WATERMARKS)
     assert state.watermark_of(rows, "contacts", "a", None) == day(3)  # written last, though it lies earlier
     assert state.watermark_of(rows, "contacts", "c", day(7)) == day(7)
-    moved = rows.unionByName(state.watermark_advance(spark, "contacts", "b", day(10), day(4)))
-    assert state.watermark_of(moved, "contacts", "b", None) == day(10)
-
-
-def test_tables_rerun_and_versions(spark, tables):
-    rows = spark.createDataFrame([("c", "a", day(1), day(1))], schemas.WATERMARKS)
-    assert tables.log("meta/watermarks").isEmpty()
-    tables.append("meta/watermarks", rows, 1)
-    tables.append("meta/watermarks", rows, 2)
-    tables.append("meta/watermarks", rows, 2)  # a repeated run replaces itself
-    assert tables.log("meta/watermarks").count() == 2
-    assert tables.log("meta/watermarks", before=2).count() == 1
-
-    name, keys = "silver/crosswalk", schemas.CROSSWALK
-    assert tables.state(name).isEmpty() and tables.state(name).schema == keys
-    tables.replace(name, spark.createDataFrame([("u", "e", "1", None)], keys), 1)
-    tables.replace(name, tables.state(name).withColumn("b_id", F.lit("2")), 10)  # reads what it replaces
-    assert tables.state(name).first()["b_id"] == "2"
-    assert tables.state(name, before=10).first()["b_id"] is None
-    with pytest.raises(ValueError, match="run ids must grow"):
-        tables.replace(name, tables.state(name), 5)
-
-
-def test_uncommitted_versions_do_not_count(spark, tables, tmp_path):
-    name = "silver/crosswalk"
-    tables.replace(name, spark.createDataFrame([("u", "e", "1", None)], schemas.CROSSWALK), 1)
-    (tmp_path / "tables" / name / "version=2").mkdir()
-    assert tables.state(name).count() == 1
+    plan = state.watermark_current(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHash" not in plan
+    moved = state.watermark_advance(state.watermark_current(rows).withColumn("updated_at", F.lit(None).cast("timestamp_ntz")), "contacts", {"b": day(10), "d": day(1)}, day(4))
+    assert {(r["source"], r["watermark_ts"]) for r in moved.collect()} == {("a", day(3)), ("b", day(10)), ("d", day(1))}
 
 
 def test_work_folder_is_under_the_shared_one(spark):
@@ -119,8 +133,8 @@ SECOND_B = [record_b("b2", "2024-01-03T00:00:00Z", emailaddress1="only@a.z")]
 
 
 def state_of(tables):
-    logs = {n: tables.log(n) for n in ("bronze/a_raw", "bronze/b_raw", "meta/watermarks", "meta/audit_log", "meta/dead_letter", "silver/history")}
-    states = {n: tables.state(n) for n in schemas.TABLES if n not in logs}
+    states = {n: tables.state(n) for n in tables.keys}
+    logs = {n: tables.log(n) for n in schemas.TABLES if n not in states}
     return {n: sorted(map(repr, df.collect())) for n, df in {**logs, **states}.items()}
 
 
@@ -129,7 +143,7 @@ def test_job_over_two_runs(spark, tables):
     assert {r["a_id"]: r["b_id"] for r in tables.state("silver/crosswalk").collect()} == {"a1": "b1", "a2": None}
     assert json.loads(sync_job.next_push(tables, SYSTEM_A).rows.first()["payload"]) == {"email": "X@y.z", "phone": "2"}
     letters = as_dicts(tables.log("meta/dead_letter"))
-    assert [(r["system"], r["reason"], r["payload"]) for r in letters] == [("a", "Missing record id", "junk")]
+    assert [(r["system"], r["reason"], r["payload"]) for r in letters] == [("a", "No document", "junk")]
 
     sync(tables, 2, day(4), SECOND_A, SECOND_B)
     once = state_of(tables)
@@ -139,13 +153,16 @@ def test_job_over_two_runs(spark, tables):
     assert past.count() == 3
     assert past.where("not is_current").first()["valid_to"] == day(4)
     assert past.where("is_current").count() == 2
-    marks = sync_job.state.watermark_of(tables.log("meta/watermarks"), "contacts", "a", None)
+    marks = sync_job.state.watermark_of(tables.state("meta/watermarks"), "contacts", "a", None)
     assert marks == datetime(2024, 1, 3)
     audit = {(r["system"], r["message"]) for r in tables.log("meta/audit_log").collect()}
     assert audit == {("a", "Ingested 2 records"), ("b", "Ingested 1 records"), ("a", "Ingested 1 records")}
 
-    sync(tables, 2, day(4), SECOND_A, SECOND_B)  # as after a failure
+    sync(tables, 2, day(4), SECOND_A, SECOND_B)  # done before
     assert state_of(tables) == once
+    with pytest.raises(ValueError, match="run ids must grow"):
+        sync(tables, 1, day(4), SECOND_A, SECOND_B)
+    tables.verify()
 
     results = spark.createDataFrame([("b1", 204, "ok")], "b_id string, http_code int, message string")
     after = sync_job.take_results(tables, results, SYSTEM_B, 3, day(5))
@@ -159,7 +176,7 @@ def test_run_without_news_adds_no_version(spark, tables):
     sync(tables, 2, day(4), [], [])
     assert sync_job.full_history(tables).count() == before
     assert tables.state("silver/a_snapshot").count() == 2
-    assert tables.log("meta/watermarks").count() == 2  # no rows, no move
+    assert {r["updated_at"] for r in tables.state("meta/watermarks").collect()} == {day(2)}  # no rows, no move
 
 
 def test_streams_take_new_files_only_and_equal_the_batch(spark, tables, tmp_path):
@@ -178,7 +195,7 @@ def test_streams_take_new_files_only_and_equal_the_batch(spark, tables, tmp_path
             seen = seen.unionByName(other)
         expected = landing.accepted_records(landing.parse_records(seen, SYSTEM_A, day(9)), SYSTEM_A)
         assert sorted(map(repr, bronze.collect())) == sorted(map(repr, expected.collect()))
-        latest = sync_job.snapshot.snapshot(expected, SYSTEM_A)
+        latest = snapshot.snapshot(expected, SYSTEM_A)
         assert sorted(map(repr, snap.collect())) == sorted(map(repr, latest.collect()))
     assert tables.log("meta/dead_letter").count() == 1
     again = incremental.stream_ingest(tables, folder, checkpoint + "/b", SYSTEM_A, day(9))
@@ -186,12 +203,13 @@ def test_streams_take_new_files_only_and_equal_the_batch(spark, tables, tmp_path
     anew = incremental.stream_ingest(tables, folder, checkpoint + "/new", SYSTEM_A, day(9))
     assert anew.count() == 2 * bronze.count()  # nothing is lost; the snapshot takes in doubles
     assert incremental.stream_snapshot(tables, folder, checkpoint + "/new-s", SYSTEM_A, day(9)).count() == 2
+    tables.verify()
 
 
 def test_many_values_are_rebalanced(spark, tables):
     """Two thirds of the rows share a date; still one file or few per date, and no row is lost."""
     rows = spark.range(0, 3000, 1, 16).select("id", F.expr("date_add(date'2024-01-01', if(id % 3 = 0, int(id % 20), 0))").alias("load_date"))
-    written = tables.append("bronze/x", rows, 1, partition_by=["load_date"], many_values=True)
+    written = tables.append("bronze/x", rows, ["load_date"], many_values=True)
     assert written.count() == 3000
     assert len(written.inputFiles()) <= 4 * 20
 
@@ -199,7 +217,7 @@ def test_many_values_are_rebalanced(spark, tables):
 def test_partitions_are_pruned(spark, tables):
     rows = landed(spark, record_a("1", "2024-01-01T00:00:00Z"), record_a("2", "never"))
     batch = landing.sort_out(landing.parse_records(rows, SYSTEM_A, day(9)), SYSTEM_A)
-    stored = tables.append("bronze/a_raw", batch, 1, partition_by=("rejected", "load_date"))
+    stored = tables.append("bronze/a_raw", batch, ("rejected", "load_date"))
     plan = landing.kept(stored, SYSTEM_A)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(rejected" in plan
     assert landing.kept(tables.log("bronze/a_raw"), SYSTEM_A).count() == 1

@@ -5,8 +5,8 @@ from conftest import a_rows, as_dicts, b_rows, day
 from pyspark.sql import functions as F
 
 from twinsync import schemas
-from twinsync.operators import match, snapshot
-from twinsync.rules import SYSTEM_A, FieldRule
+from twinsync.operators import changes, match, snapshot
+from twinsync.rules import SYSTEM_A, SYSTEM_B, FieldRule
 
 
 def uid(text):
@@ -104,26 +104,53 @@ def test_hot_keys_are_cut_down_before_the_shuffle(spark):
     assert latest.where("k = 'hot'").first()["t"] == 29_997
 
 
-def test_refresh_equals_the_snapshot_of_all_changes(spark):
-    """Both ways, over changes with ties, null times, new ids and ids that come in late."""
-    def rows(*numbers):
-        return [
-            {"id": f"a{n % 17}", "modified": None if n % 11 == 0 else day(1 + n * 7 % 13), "firstname": str(n % 5), "phone": None if n % 3 else str(n)}
-            for n in numbers
-        ]
-
-    first, second = rows(*range(60)), rows(*range(40, 120, 3)) + [{"id": "new", "modified": day(1)}, {"id": None, "modified": day(2)}]
-    previous = snapshot.snapshot(a_rows(spark, *first), SYSTEM_A)
-    expected = as_dicts(snapshot.snapshot(a_rows(spark, *first, *second), SYSTEM_A), "a_id")
-    for limit in (10**9, 0):
-        got = snapshot.refresh(previous, a_rows(spark, *second), SYSTEM_A, limit)
-        assert got.schema.names == previous.schema.names
-        assert as_dicts(got, "a_id") == expected
-
-
-def test_refresh_does_not_shuffle_the_snapshot(spark, tmp_path):
-    a_rows(spark, *({"id": f"a{n}", "modified": day(1)} for n in range(50))).write.parquet(str(tmp_path / "s"))
-    previous = spark.read.parquet(str(tmp_path / "s"))
-    plan = snapshot.refresh(previous, a_rows(spark, {"id": "a1", "modified": day(2)}), SYSTEM_A)._jdf.queryExecution()
-    merged = plan.executedPlan().toString().split("Union")[1].split("BroadcastExchange")[0]
-    assert "FileScan" in merged and "Exchange hashpartitioning" not in merged
+def change_rows(*numbers):
+    return [
+        {
+            "id": f"a{n % 17}", "modified": None if n % 11 == 0 else day(1 + n * 7 % 13), "firstname": str(n % 5),
+            "phone": None if n % 3 else str(n), "email": None if n % 13 == 0 else f"u{n % 23}@x.y",
+        }
+        for n in numbers
+    ]
+
+
+@pytest.mark.parametrize("keep_unkeyed", [False, True])
+def test_changes_lead_to_the_snapshot_and_the_keys_of_all(spark, keep_unkeyed):
+    """Over ties, null times, new ids, ids that come in late, and addresses that move; two batches of changes at once."""
+    batches = [change_rows(*range(60)), change_rows(*range(40, 120, 3)), change_rows(*range(100, 150, 7))]
+    batches[1] += [{"id": "new", "modified": day(1)}, {"id": None, "modified": day(2)}]
+    snap = a_rows(spark).where("false")
+    keyed = match.key_of(snap, SYSTEM_A, keep_unkeyed)
+    found = []
+    for batch in batches:
+        change = changes.changed_records(a_rows(spark, *batch), snap, SYSTEM_A, keep_unkeyed).cache()
+        assert change.schema.names == schemas.changes(SYSTEM_A).names
+        snap = changes.apply_to_snapshot(snap, change, SYSTEM_A).cache()
+        found.append(change)
+    everything = [row for batch in batches for row in batch]
+    expected = snapshot.snapshot(a_rows(spark, *everything), SYSTEM_A)
+    assert as_dicts(snap, "a_id") == as_dicts(expected, "a_id")
+
+    keyed = changes.apply_to_keyed(keyed, found[0], SYSTEM_A)
+    keyed = changes.apply_to_keyed(keyed, found[1].unionByName(found[2]), SYSTEM_A)
+    whole = match.key_of(expected, SYSTEM_A, keep_unkeyed).where("unified_contact_id is not null")
+    assert as_dicts(keyed, "a_id") == as_dicts(whole, "a_id")
+    assert (keyed.count() < expected.count()) != keep_unkeyed
+
+    # The same batch again changes nothing; a record that moves names the key it had.
+    assert changes.changed_records(a_rows(spark, *batches[2]), snap, SYSTEM_A).isEmpty()
+    one = snap.where("email is not null").first()
+    moved = a_rows(spark, {"id": one["a_id"], "modified": day(30), "email": "else@x.y"})
+    row = changes.changed_records(moved, snap, SYSTEM_A).first()
+    assert row["old_uid"] == whole.where(F.col("a_id") == one["a_id"]).first()["unified_contact_id"] != row["unified_contact_id"]
+
+
+def test_match_by_key_equals_match_by_address(spark):
+    a = a_rows(spark, *change_rows(*range(40)))
+    a = snapshot.snapshot(a, SYSTEM_A)
+    b = b_rows(spark, {"id": "b1", "email": "U1@x.y "}, {"id": "b2", "email": "u1@x.y"}, {"id": "b3", "email": "z@z.z"}, {"id": "b4"})
+    for keep in (False, True):
+        keyed = [match.key_of(s, system, keep).where("unified_contact_id is not null") for s, system in ((a, SYSTEM_A), (b, SYSTEM_B))]
+        got, expected = match.match_keyed(*keyed), match.match_records(a, b, keep)
+        assert got.columns == expected.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, expected.collect()))

@@ -101,6 +101,21 @@ def test_upsert_rejects_duplicate_source_keys(spark):
         upsert.upsert_by_key(target, source, ["k1", "k2"]).collect()
 
 
+def test_upsert_reads_each_side_once(spark, tmp_path):
+    frame(spark, ("a", 1, "old")).write.parquet(str(tmp_path / "t"))
+    frame(spark, ("b", 1, "x")).write.parquet(str(tmp_path / "s"))
+    merged = upsert.upsert_by_key(spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s")), ["k1", "k2"])
+    assert merged._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+
+
+def test_upsert_spreads_rows_without_a_key(spark):
+    rows = spark.range(3000).select(F.lit(None).cast("string").alias("k1"), F.lit(1).alias("k2"), F.col("id").cast("string").alias("v"))
+    merged = upsert.upsert_by_key(rows, rows, ["k1", "k2"])
+    assert merged.count() == 6000
+    twice = rows.limit(5).union(rows.limit(5))
+    assert upsert.upsert_by_key(twice, twice, ["k1", "k2"]).count() == 20
+
+
 def test_upsert_into_nothing(spark):
     source = frame(spark, ("b", 1, "x"))
     assert upsert.upsert_by_key(frame(spark, ("z", 0, "")).where("false"), source, ["k1", "k2"]).count() == 1

@@ -1,7 +1,7 @@
 """The job's steps from the command line, for a scheduler to call.
 
     python -m twinsync sync --root R --landed-a A --landed-b B --run-id 7 --as-of 2024-05-01
-    python -m twinsync push --root R --system a --out requests/
+    python -m twinsync push --root R --system a --out requests/ [--batches 90]
     python -m twinsync results --root R --system a --results outcomes/ --run-id 8 --as-of 2024-05-01T01:00:00
     python -m twinsync redact --text docs/ --column text --out masked/
 """
@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from twinsync.functions.text import redact_text
+from twinsync.operators import outbox
 from twinsync.plans import sync_job
 from twinsync.rules import CONTACTS, Entity, FieldRule
 from twinsync.sources.tables import Tables
@@ -49,11 +50,14 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     sync.add_argument("--landed-b", required=True)
     sync.add_argument("--default-start", type=time, default=datetime(2000, 1, 1))
     sync.add_argument("--keep-unkeyed", action="store_true")
+    sync.add_argument("--pages", action="store_true", help="each landed text is a page of records")
     for step in (push, results):
         step.add_argument("--system", choices=("a", "b"), required=True)
     push.add_argument("--size", type=int, help="rows at most; all pending rows if not given")
+    push.add_argument("--batches", type=int, metavar="ROWS", help="one request per batch of so many rows")
     push.add_argument("--out", required=True)
     results.add_argument("--results", required=True, help="Parquet: target id, http_code, message")
+    results.add_argument("--batches", action="store_true", help="results name a batch instead of a target id")
     redact.add_argument("--text", required=True, help="Parquet")
     redact.add_argument("--column", default="text")
     redact.add_argument("--out", required=True)
@@ -69,16 +73,20 @@ def main(argv: Sequence[str] | None = None) -> None:
         return
 
     entity: Entity = replace(CONTACTS, rules=read_rules(args.rules)) if args.rules else CONTACTS
-    tables = Tables(spark, args.root, entity)
+    tables = Tables(spark, args.root, entity, keep_unkeyed=args.step == "sync" and args.keep_unkeyed)
     if args.step == "sync":
         landed = [spark.read.text(path).withColumnRenamed("value", "raw") for path in (args.landed_a, args.landed_b)]
-        sync_job.sync_run(tables, *landed, args.run_id, args.as_of, args.default_start, args.keep_unkeyed)
+        sync_job.sync_run(tables, *landed, args.run_id, args.as_of, args.default_start, args.pages)
         return
     target = entity.a if args.system == "a" else entity.b
-    if args.step == "push":
+    if args.step == "push" and args.batches:
+        batches = sync_job.next_batches(tables, target, args.batches)
+        outbox.batch_requests(batches, target).write.json(args.out)
+    elif args.step == "push":
         sync_job.next_push(tables, target, args.size).requests.write.json(args.out)
     else:
-        sync_job.take_results(tables, spark.read.parquet(args.results), target, args.run_id, args.as_of)
+        take = sync_job.take_batch_results if args.batches else sync_job.take_results
+        take(tables, spark.read.parquet(args.results), target, args.run_id, args.as_of)
 
 
 if __name__ == "__main__":

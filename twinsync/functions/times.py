@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _EPOCH = datetime(1970, 1, 1)
+_FIRST, _LAST = ((time - _EPOCH) // timedelta(microseconds=1) for time in (datetime.min, datetime.max))
 
 
 def at(time: datetime | None) -> Column:
@@ -19,20 +20,19 @@ def at(time: datetime | None) -> Column:
 
 
 def parse_iso(text: Column) -> Column:
-    """ISO-8601 text to UTC wall-clock time; null when it is not a date of the years 0001 to 9999, with or without a time.
+    """ISO-8601 text to UTC wall-clock time; null when it is no date, with or without a time, or not of the years 0001 to 9999.
 
-    Text without a zone is read as UTC.  The session's time zone and its clock play no part.
+    Text without a zone is read as UTC.  The year counts after the zone is applied: a time that a zone moves out of the
+    range is unreadable.  The session's time zone and its clock play no part.
     """
-    text = F.when(text.rlike(r"^(?!0000)\d{4}-\d{2}-\d{2}(?:[T ]|$)"), text)
+    text = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}(?:[T ]|$)"), text)
     stamped = (
         F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(text, F.lit("T00:00:00Z")))
         .when(text.rlike(r"(?:Z|[+-]\d{2}:?\d{2})$"), text)
         .otherwise(F.concat(text, F.lit("Z")))
     )
     micros = F.unix_micros(F.try_to_timestamp(stamped))
-    return at(_EPOCH) + F.make_dt_interval(
-        secs=(micros.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
-    )
+    return F.when(micros.between(_FIRST, _LAST), F.timestamp_add("MICROSECOND", micros, at(_EPOCH)))
 
 
 def format_iso(time: Column) -> Column:

@@ -56,6 +56,30 @@ def match_records(
     return joined.select(uid.alias(UNIFIED_ID), email.alias("match_email"), *entity.matched_columns)
 
 
+def key_of(snap: DataFrame, system: System, keep_unkeyed: bool = False, *more: str) -> DataFrame:
+    """The records, and ``more`` columns, with the unified id they match under (null: none) and their normalised email."""
+    email = normalize_email(F.col(system.email))
+    uid = unified_id(email)
+    if keep_unkeyed:
+        uid = F.coalesce(uid, unified_id(F.concat(F.lit(f"{system.name}|"), F.col(system.id))))
+    return snap.select(*more, uid.alias(UNIFIED_ID), email.alias("match_email"), *system.snapshot_columns)
+
+
+def match_keyed(keyed_a: DataFrame, keyed_b: DataFrame, entity: Entity = CONTACTS) -> DataFrame:
+    """As ``match_records``, for records that have their key (``key_of``)."""
+
+    def side(keyed: DataFrame, system: System) -> DataFrame:
+        one = one_per_email(keyed, system, [UNIFIED_ID])
+        return one.select(
+            UNIFIED_ID, F.col("match_email").alias(f"{system.name}_match"),
+            *(F.col(c).alias(system.matched(c)) for c in system.snapshot_columns),
+        )
+
+    joined = side(keyed_a, entity.a).join(side(keyed_b, entity.b), [UNIFIED_ID], "full")
+    email = F.coalesce(*(f"{s.name}_match" for s in entity.systems))
+    return joined.select(UNIFIED_ID, email.alias("match_email"), *entity.matched_columns)
+
+
 def crosswalk(matched: DataFrame, entity: Entity = CONTACTS) -> DataFrame:
     """Unified id, normalised email and the id on either side."""
     return matched.select(UNIFIED_ID, F.col("match_email").alias("email"), entity.a.id, entity.b.id)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinsync.functions.keys import is_missing
@@ -17,6 +18,7 @@ from twinsync.rules import UNIFIED_ID, System
 # Rows that a bounded push of system A takes, and the response codes worth another attempt.
 BATCH_ROWS = 90
 RETRYABLE_CODES = (429, 500, 502, 503, 504)
+_PLACE_BITS = 33  # of a generated id, that tell the place within a partition
 
 
 class Batch(NamedTuple):
@@ -42,14 +44,50 @@ def _unsendable(target: System) -> Column:
     return is_missing(F.col(target.id)) | is_unreadable(F.col("payload"))
 
 
+def _push_order() -> list[Column]:
+    """Rows tried least often come first, then those tried longest ago, so that rows to try again block no others."""
+    return [F.col("attempt").asc_nulls_first(), F.col("last_attempt_ts").asc_nulls_first(), F.col(UNIFIED_ID)]
+
+
 def take_pending(outbox: DataFrame, size: int | None = None) -> DataFrame:
-    """The rows to push: all pending ones, or the next ``size``.
+    """The rows to push: all pending ones, or the next ``size``, in the order of pushes."""
+    rows = pending(outbox)
+    return rows if size is None else rows.orderBy(*_push_order()).limit(size)
+
 
-    Rows tried least often come first, then those tried longest ago, so that rows to try again block no others.
+def number_batches(rows: DataFrame, size: int, store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows with ``batch`` (from 0): ``size`` rows each, but for the last, in the order of pushes.
+
+    Rows are sorted over all partitions and stored (``store`` writes them and reads them back), each with its partition
+    and its place there.  The counts per partition, added up, give where a partition begins.  No task sees more
+    than its own rows, and the driver none.
     """
-    rows = pending(outbox)
-    order = [F.col("attempt").asc_nulls_first(), F.col("last_attempt_ts").asc_nulls_first(), F.col(UNIFIED_ID)]
-    return rows if size is None else rows.orderBy(*order).limit(size)
+    if size < 1:
+        raise ValueError("a batch takes at least one row")
+    placed = store(rows.orderBy(*_push_order()).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", _PLACE_BITS)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    # One row per partition of the sort: its number bounds this window and the broadcast.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    numbered = placed.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    place = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    return numbered.select(F.floor(place / size).alias("batch"), *rows.columns)
+
+
+def batch_requests(batches: DataFrame, target: System) -> DataFrame:
+    """One request per batch: its number of records, and its body as JSON text.
+
+    A batch has a bounded number of rows, so a body is bounded too.  A list of records in the order of their ids.
+    """
+    record = F.struct(
+        F.col(target.id).alias("id"), from_patch(F.col("payload")).alias("properties"), F.col(UNIFIED_ID).alias("order")
+    )
+    listed = F.array_sort(F.collect_list(record), lambda x, y: F.when(x["order"] < y["order"], -1).otherwise(1))
+    inputs = F.transform(listed, lambda r: F.struct(r["id"].alias("id"), r["properties"].alias("properties")))
+    return batches.groupBy("batch").agg(
+        F.count(F.lit(1)).alias("records"), F.to_json(F.struct(inputs.alias("inputs"))).alias("body")
+    )
 
 
 def next_batch(outbox: DataFrame, target: System, size: int | None = None) -> Batch:
@@ -73,9 +111,13 @@ def outcome_status(http_code: Column) -> Column:
     )
 
 
-def batch_results(batch: Batch, target: System, http_code: int, message: str) -> DataFrame:
-    """One response for a whole batch, as one result per request."""
-    return batch.requests.select(target.id, F.lit(http_code).alias("http_code"), F.lit(message).alias("message"))
+def batch_outcomes(batches: DataFrame, results: DataFrame) -> DataFrame:
+    """What came of each batch (batch, http_code, message), for each of its rows.
+
+    Batches without a result are left out; two results for a batch are an error.
+    """
+    unique = reject_duplicates(results.where(F.col("batch").isNotNull()), ["batch"], "the results")
+    return batches.join(unique.select("batch", "http_code", "message"), ["batch"])
 
 
 def apply_results(outbox: DataFrame, results: DataFrame, target: System, as_of: datetime) -> DataFrame:
@@ -87,18 +129,27 @@ def apply_results(outbox: DataFrame, results: DataFrame, target: System, as_of:
     """
     unique = reject_duplicates(results.where(F.col(target.id).isNotNull()), [target.id], "the results")
     side = unique.select(F.col(target.id).alias("_result_id"), F.col("http_code").alias("_code"))
-    open_row = F.col("status") == "PENDING"
-    missing = _unsendable(target)
     key = F.coalesce(F.col(target.id), F.col(UNIFIED_ID)) == F.col("_result_id")
-    joined = outbox.join(side, key & open_row & ~missing, "left")
+    sent = (F.col("status") == "PENDING") & ~_unsendable(target)
+    return _after(outbox.join(side, key & sent, "left"), outbox.columns, target, as_of)
+
+
+def settle(outbox: DataFrame, pushed: DataFrame, target: System, as_of: datetime) -> DataFrame:
+    """As ``apply_results``, for outcomes that are known per row (unified id, http_code)."""
+    side = pushed.select(UNIFIED_ID, F.col("http_code").alias("_code"))
+    return _after(outbox.join(side, [UNIFIED_ID], "left"), outbox.columns, target, as_of)
+
 
+def _after(joined: DataFrame, columns: list[str], target: System, as_of: datetime) -> DataFrame:
     attempted = F.col("_code").isNotNull()
     new = {
-        "status": F.when(attempted, outcome_status(F.col("_code"))).when(open_row & missing, "FAILED"),
+        "status": F.when(attempted, outcome_status(F.col("_code"))).when(
+            (F.col("status") == "PENDING") & _unsendable(target), "FAILED"
+        ),
         "attempt": F.when(attempted, F.col("attempt") + 1),
         "last_attempt_ts": F.when(attempted, at(as_of)),
     }
-    return joined.select(*(F.coalesce(new[c], F.col(c)).alias(c) if c in new else F.col(c) for c in outbox.columns))
+    return joined.select(*(F.coalesce(new[c], F.col(c)).alias(c) if c in new else F.col(c) for c in columns))
 
 
 def outcomes(outbox: DataFrame, results: DataFrame, target: System) -> DataFrame:

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from twinsync.operators.lookups import BROADCAST_BYTES, fits_broadcast
 from twinsync.rules import System
 
 
@@ -36,26 +35,6 @@ def snapshot(changes: DataFrame, system: System, tie_break: Sequence[str] | None
     return latest_by_ts(known, [system.id], system.modified, ties).select(*system.snapshot_columns)
 
 
-def refresh(previous: DataFrame, changes: DataFrame, system: System, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """The snapshot after some more changes: the same rows as a snapshot of all changes ever.
-
-    A batch that is measured to fit is broadcast, and then the snapshot before, however large, is read
-    but not shuffled.  A larger batch goes through one shuffle together with it.
-    """
-    columns = system.snapshot_columns
-    if not fits_broadcast(changes.select(*columns), limit):
-        return snapshot(previous.unionByName(changes.select(*columns)), system)
-    # Greatest of two records by time, then attributes, null lowest: the order of a snapshot.
-    record = F.struct(*columns[1:])
-    newest = snapshot(changes, system).select(system.id, record.alias("_new"))
-    merged = previous.join(F.broadcast(newest), [system.id], "left").select(
-        system.id, F.greatest(record, F.col("_new")).alias("_record")
-    )
-    known = previous.select(system.id).join(F.broadcast(newest.select(system.id)), [system.id], "left_semi")
-    added = newest.join(known, [system.id], "left_anti").withColumnRenamed("_new", "_record")
-    return merged.unionByName(added).select(system.id, "_record.*")
-
-
 def one_per_email(keyed: DataFrame, system: System, keys: Sequence[str]) -> DataFrame:
     """One record per match key: the newest, then the smallest id."""
     return first_per_key(keyed, keys, [F.col(system.modified).desc_nulls_last(), F.col(system.id).asc()])

@@ -1,11 +1,13 @@
 """Incremental positions, audit rows and dead letters.
 
-All are rows to append; nothing here is updated in place.
+All are rows to append, but for positions, a small state of one row per entity and source.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,22 +20,30 @@ from twinsync.rules import CONTACTS, UNIFIED_ID, System
 
 
 def watermark_current(watermarks: DataFrame) -> DataFrame:
-    """The position written last, per entity and source.  It may lie before an older one."""
-    last = F.max(F.struct("updated_at", "watermark_ts"))["watermark_ts"]
-    return watermarks.groupBy("entity", "source").agg(last.alias("watermark_ts"))
+    """The position written last, per entity and source; of several written at one time, the greatest.
 
+    It may lie before an older one.  Two hash aggregates: the first leaves one position per time of writing.
+    """
+    at_once = watermarks.groupBy("entity", "source", "updated_at").agg(F.max("watermark_ts").alias("watermark_ts"))
+    return at_once.groupBy("entity", "source").agg(F.max_by("watermark_ts", "updated_at").alias("watermark_ts"))
 
-def watermark_of(watermarks: DataFrame, entity: str, source: str, default: datetime | None) -> datetime | None:
+
+def watermark_of(positions: DataFrame, entity: str, source: str, default: datetime | None) -> datetime | None:
     """One position as a driver value, to go into a scan filter; the default when none was written."""
-    one = watermarks.where((F.col("entity") == entity) & (F.col("source") == source))
-    row = watermark_current(one).first()
+    row = watermark_current(positions.where((F.col("entity") == entity) & (F.col("source") == source))).first()
     return row["watermark_ts"] if row else default
 
 
-def watermark_advance(spark: SparkSession, entity: str, source: str, watermark_ts: datetime, as_of: datetime) -> DataFrame:
-    """The row that moves a position."""
-    values = [F.lit(entity), F.lit(source), at(watermark_ts), at(as_of)]
-    return one_row(spark, **dict(zip(schemas.WATERMARKS.names, values)))
+def watermark_advance(positions: DataFrame, entity: str, moves: Mapping[str, datetime], as_of: datetime) -> DataFrame:
+    """The positions after some sources of an entity have moved: still one row per entity and source."""
+    spark = positions.sparkSession
+    moved = [
+        one_row(spark, **dict(zip(schemas.WATERMARKS.names, (F.lit(entity), F.lit(source), at(time), at(as_of)))))
+        for source, time in moves.items()
+    ]
+    return reduce(DataFrame.unionByName, moved, positions.where(
+        ~((F.col("entity") == entity) & F.col("source").isin(*moves))
+    ))
 
 
 def one_row(spark: SparkSession, **columns: Column) -> DataFrame:
@@ -85,15 +95,20 @@ def audit_pushed_records(
     )
 
 
-def audit_pushed_batch(
-    requests: DataFrame, target: System, as_of: datetime, http_code: int, message: str, entity: str = CONTACTS.name
+def audit_pushed_batches(
+    outcomes: DataFrame, target: System, as_of: datetime, entity: str = CONTACTS.name
 ) -> DataFrame:
-    """One row for a whole batch with its number of requests, or the message of its failure."""
-    counted = requests.agg(F.count(F.lit(1)).alias("n"))
-    code = F.lit(http_code)
+    """One row per batch with its number of requests, or the message of its failure.
+
+    ``outcomes`` has a row per request (batch, http_code, message); a batch has one code and message.
+    """
+    counted = outcomes.groupBy("batch").agg(
+        F.count(F.lit(1)).alias("n"), F.max("http_code").alias("http_code"), F.max("message").alias("message")
+    )
+    code = F.col("http_code")
     text = F.when(
         _audit_status(code) == "SUCCESS", F.concat(F.lit("Pushed "), F.col("n").cast("string"), F.lit(" records"))
-    ).otherwise(F.lit(message))
+    ).otherwise(F.col("message"))
     return audit_rows(counted, target.name, "push", as_of, _audit_status(code), code, text, entity=entity)
 
 

@@ -7,6 +7,7 @@ tables.  Each is SQL that Spark and DuckDB both read; ``@name`` stands for a giv
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 from datetime import datetime
 from zlib import crc32
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinsync.functions.times import format_iso
-from twinsync.rules import System
+from twinsync.rules import SYSTEM_A, SYSTEM_B, System
 
 AS_OF_1 = datetime(1998, 7, 1)
 AS_OF_2 = datetime(2001, 9, 1)
@@ -24,6 +25,8 @@ SINCE = datetime(2024, 1, 10)
 DEFAULT_START = datetime(2000, 1, 1)
 OPTION_SETS = {"firstname": "segment"}
 LOOKUPS = {"company": "accounts"}
+PAGED_A = replace(SYSTEM_A, json_names={"a_id": "recordId", "a_modified": "lastChanged", "phone": "phone_number"})
+PAGED_B = replace(SYSTEM_B, json_names={"b_id": "accountid", "b_modified": "changedon"})
 
 VIEWS = {
     # Change rows of system A, several per id: null, invalid, shared and padded upper-case emails, emails
@@ -66,22 +69,55 @@ VIEWS = {
                  else 'Co' || cast(c_nationkey as string) end as company
         from @orders join @customer on o_custkey = c_custkey
     """,
-    # Landed JSON of either system: unreadable text and times, time zones, absent attributes.
+    # Landed JSON of either system: unreadable text and times, two documents in a text, time zones that lead out of
+    # the years there are, absent attributes.
     "raw_a": """
         select case when event_id % 97 = 0 then '{"id":"' || cast(event_id as string)
+               when event_id % 83 = 0 then '{"id":"' || cast(event_id as string) || '"} {"id":"' || cast(event_id as string) || '"}'
+               when event_id % 79 = 0 then '{"id":"' || cast(event_id as string) || '"},{"id":"' || cast(event_id as string) || '"}'
                when event_id % 89 = 0 then '{"id":"' || cast(event_id as string) || '","properties":{"email":"u0@example.org"}}'
                else '{"id":"' || cast(event_id as string) || '","properties":{"email":"u' || cast(user_id as string)
                 || '@example.org","jobtitle":"' || event_type || '","modified":"'
                 || case when event_id % 10 = 0 then 'not-a-time'
+                        when event_id % 20 = 3 then '9999-12-31T23:00:00-05:00'
+                        when event_id % 20 = 5 then '0001-01-01T00:00:00+05:00'
                         when event_id % 10 = 1 then cast(cast(ts as date) as string) || 'T05:30:00+05:30'
-                        else cast(cast(ts as date) as string) || 'T00:00:00Z' end
+                        else cast(cast(ts as date) as string) || 'T' || lpad(cast(extract(hour from ts) as string), 2, '0') || ':'
+                            || lpad(cast(extract(minute from ts) as string), 2, '0') || ':05Z' end
                 || '"}}' end as raw
         from @events
     """,
     "raw_b": """
         select '{"id":"' || cast(event_id as string) || '","emailaddress1":"u' || cast(user_id as string)
                 || '@example.org","company":"' || event_type || '","modified":"'
-                || cast(cast(ts as date) as string) || 'T00:00:00Z"}' as raw
+                || cast(cast(ts as date) as string) || 'T12:34:56.789Z"}' as raw
+        from @events
+    """,
+    # Pages of two records and a link, some of them empty, cut off, or without a list.
+    "pages_a": """
+        select case when event_id % 50 = 0 then '{"results":[]}' when event_id % 53 = 0 then '{"results":[{"recordId":"'
+               when event_id % 47 = 0 then '{"total":0}'
+               else '{"results":[{"recordId":"' || cast(event_id as string) || '","properties":{"email":"u' || cast(user_id as string)
+                || '@example.org","phone_number":"' || event_type || '","lastChanged":"' || cast(cast(ts as date) as string)
+                || 'T01:02:03Z"}},{"recordId":"x' || cast(event_id as string)
+                || '","properties":{"lastChanged":"never"}}],"paging":{"next":{"after":"' || cast(event_id as string) || '"}}}' end as raw
+        from @events
+    """,
+    "pages_b": """
+        select '{"value":[{"accountid":"' || cast(event_id as string) || '","emailaddress1":"u' || cast(user_id as string)
+                || '@example.org","company":"' || event_type || '","changedon":"' || cast(cast(ts as date) as string)
+                || 'T01:02:03+01:00"}],"nextLink":"page' || cast(event_id as string) || '"}' as raw
+        from @events
+    """,
+    # Times as others write them: zones, fractions, a blank for the T, days alone, times out of range, and no times.
+    "time_texts": """
+        select event_id, case event_id % 9 when 0 then cast(cast(ts as date) as string) || 'T05:30:00+05:30'
+            when 1 then cast(cast(ts as date) as string) || 'T23:59:59.5Z'
+            when 2 then cast(cast(ts as date) as string) || ' 01:02:03'
+            when 3 then cast(cast(ts as date) as string)
+            when 4 then '9999-12-31T23:00:00-05:00' when 5 then '0001-01-01T00:00:00+05:00' when 6 then event_type
+            when 7 then cast(cast(ts as date) as string) || 'T00:00:00.123456-11:30'
+            else cast(cast(ts as date) as string) || 'T10:11:12Z' end as text
         from @events
     """,
     # Positions as they are appended.
@@ -105,6 +141,13 @@ VIEWS = {
             'code for ' || c_name as message
         from @customer
     """,
+    # What a sender reports for batches.
+    "batch_results_a": """
+        select cast(c_custkey - 1 as bigint) as batch,
+            cast(case c_custkey % 4 when 0 then 503 when 1 then 400 else 200 end as int) as http_code,
+            'batch for ' || c_name as message
+        from @customer
+    """,
     # Labels and codes, one label spelled otherwise than in the records.
     "option_dim": """
         select distinct 'segment' as option_set,

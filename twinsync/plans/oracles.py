@@ -54,28 +54,38 @@ def _unified(crosswalk: str, snap_a: str, snap_b: str) -> str:
         from {crosswalk} x left join {snap_a} a on x.a_id = a.a_id left join {snap_b} b on x.b_id = b.b_id"""
 
 
-def _deltas(target: str, rules: list[tuple[str, str, str]]) -> str:
+def _deltas(target: str, rules: list[tuple[str, str, str]], prefix: str = "", newest: bool = False, empty: bool = False) -> str:
     source = "b" if target == "a" else "a"
     branches = []
     for position, (have, offer, strategy) in enumerate(rules):
         t, s = f"{target}.{have}", f"{source}.{offer}"
-        test = f"{t} is null and {s} is not null" if strategy == "fill" else f"{t} <> {s}"
+        null = "nullif({}, '')" if empty else "{}"
+        test = f"{null.format(t)} is null and {null.format(s)} is not null" if strategy == "fill" else f"{t} <> {s}"
+        if newest and strategy == "overwrite" and have != "jobtitle":
+            newer = ">=" if source == "a" else ">"
+            test += f" and ({target}.{target}_modified is null or {source}.{source}_modified {newer} {target}.{target}_modified)"
         branches.append(f"""
             select x.unified_contact_id, x.{target}_id, {position} as pos, '{have}' as field, {s} as value
-            from crosswalk x left join snap_a a on x.a_id = a.a_id left join snap_b b on x.b_id = b.b_id
+            from {prefix}crosswalk x left join {prefix}snap_a a on x.a_id = a.a_id left join {prefix}snap_b b on x.b_id = b.b_id
             where {test}""")
     return " union all ".join(branches)
 
 
-def _outbox(target: str) -> str:
+def _outbox(target: str, prefix: str = "") -> str:
     return f"""
         select unified_contact_id, {target}_id,
             '{{' || string_agg(to_json(field)::varchar || ':' || to_json(value)::varchar, ',' order by pos) || '}}' as payload,
             'PENDING' as status, 0 as attempt, {_NO_TIME} as last_attempt_ts
-        from deltas_{target} group by all"""
+        from {prefix}deltas_{target} group by all"""
 
 
-def _parsed(raw: str, system: str, texts: dict[str, str], modified: str, nested: bool) -> str:
+def _time(text: str) -> str:
+    """A time of the years 0001 to 9999, or null."""
+    micros = f"epoch_us(try_cast({text} as timestamptz))"
+    return f"case when {micros} between -62135596800000000 and 253402300799999999 then make_timestamp({micros}) end"
+
+
+def _parsed(raw: str, system: str, texts: dict[str, str], modified: str, nested: bool, id_: str = "id") -> str:
     """``texts`` maps every bronze text column to its JSON key, or to nothing when no record has it."""
     body = "$.properties." if nested else "$."
     doc = "case when json_valid(raw) then raw end"
@@ -85,9 +95,10 @@ def _parsed(raw: str, system: str, texts: dict[str, str], modified: str, nested:
     )
     text = f"json_extract_string({doc}, '{body}{modified}')"
     return f"""
-        select timestamp '2024-02-01 03:04:05' as load_ts, json_extract_string({doc}, '$.id') as {system}_id,
-            make_timestamp(epoch_us(try_cast({text} as timestamptz))) as {system}_modified,
-            {columns}, raw, {text} as modified_text
+        select timestamp '2024-02-01 03:04:05' as load_ts, json_extract_string({doc}, '$.{id_}') as {system}_id,
+            {_time(text)} as {system}_modified, {columns}, raw, {text} as modified_text,
+            case when not json_valid(raw) then case when regexp_matches(raw, '\\}}[, ]\\{{')
+                then 'Text after the document' else 'No document' end end as fault
         from {raw}"""
 
 
@@ -99,15 +110,15 @@ _TEXTS_B = {"emailaddress1": "emailaddress1", "company": "company", **_TEXTS_B}
 
 def _reason(system: str) -> str:
     return (
-        f"case when {system}_id is null then 'Missing record id'"
+        f"case when fault is not null then fault when {system}_id is null then 'Missing record id'"
         f" when modified_text is not null and {system}_modified is null then 'Unreadable modified time' end"
     )
 
 
-def _accepted(system: str, texts: dict[str, str]) -> str:
+def _accepted(system: str, texts: dict[str, str], parsed: str = "parsed_") -> str:
     columns = ", ".join(texts)
     return f"""
-        select load_ts, {system}_id, {system}_modified, {columns}, raw from parsed_{system}
+        select load_ts, {system}_id, {system}_modified, {columns}, raw from {parsed}{system}
         where {_reason(system)} is null"""
 
 
@@ -189,6 +200,34 @@ def _whole_history(prefix: str) -> str:
 _TIES_A = _COLS_A.removeprefix("a_id, a_modified, ")
 _TIES_B = _COLS_B.removeprefix("b_id, b_modified, ")
 
+_RULES_A = [
+    ("email", "emailaddress1", "overwrite"), ("firstname", "firstname", "fill"),
+    ("lastname", "lastname", "fill"), ("phone", "telephone1", "overwrite"),
+    ("mobilephone", "mobilephone", "fill"), ("jobtitle", "jobtitle", "overwrite"),
+]
+_RULES_B = [
+    ("emailaddress1", "email", "overwrite"), ("firstname", "firstname", "fill"),
+    ("lastname", "lastname", "fill"), ("telephone1", "phone", "overwrite"),
+    ("mobilephone", "mobilephone", "fill"), ("company", "company", "fill"),
+]
+
+
+def _applied(target: str, prefix: str = "") -> str:
+    return f"""
+        select o.unified_contact_id, o.{target}_id, o.payload,
+            case when r.{target}_id is not null then {_status('r.http_code')}
+                 when o.{target}_id is null then 'FAILED' else o.status end as status,
+            cast(case when r.{target}_id is not null then 1 else 0 end as int) as attempt,
+            case when r.{target}_id is not null then {_T2} end as last_attempt_ts
+        from {prefix}outbox_{target} o left join push_results_{target} r on o.{target}_id = r.{target}_id"""
+
+
+def _records(pages: str, at: str) -> str:
+    return f"""
+        select unnest(cast(json_extract(raw, '$.{at}') as json[]))::varchar as raw from {pages}
+        where json_valid(raw) and json_extract(raw, '$.{at}') is not null"""
+
+
 # Intermediate results; a query pulls in those it names.
 STEPS = {
     **_matching("", "a_version", "b_version"),
@@ -197,16 +236,26 @@ STEPS = {
     **_matching("run_", _TIES_A, _TIES_B),
     **_matching("run_old_", _TIES_A, _TIES_B, until="1998-06-30"),
     **_two_dates("run_"),
-    "deltas_a": _deltas("a", [
-        ("email", "emailaddress1", "overwrite"), ("firstname", "firstname", "fill"),
-        ("lastname", "lastname", "fill"), ("phone", "telephone1", "overwrite"),
-        ("mobilephone", "mobilephone", "fill"), ("jobtitle", "jobtitle", "overwrite"),
-    ]),
-    "deltas_b": _deltas("b", [
-        ("emailaddress1", "email", "overwrite"), ("firstname", "firstname", "fill"),
-        ("lastname", "lastname", "fill"), ("telephone1", "phone", "overwrite"),
-        ("mobilephone", "mobilephone", "fill"), ("company", "company", "fill"),
-    ]),
+    "deltas_a": _deltas("a", _RULES_A),
+    "deltas_b": _deltas("b", _RULES_B),
+    "run_deltas_a": _deltas("a", _RULES_A, "run_"),
+    "run_deltas_b": _deltas("b", _RULES_B, "run_"),
+    "run_outbox_a": _outbox("a", "run_"),
+    "run_outbox_b": _outbox("b", "run_"),
+    "newest_deltas_a": _deltas("a", _RULES_A, newest=True),
+    "empty_deltas_b": _deltas("b", _RULES_B, empty=True),
+    "applied_a": _applied("a"),
+    "run_applied_a": _applied("a", "run_"),
+    "run_applied_b": _applied("b", "run_"),
+    "records_a": _records("pages_a", "results"),
+    "records_b": _records("pages_b", "value"),
+    "paged_a": _parsed("records_a", "a", {**_TEXTS_A, "jobtitle": "", "phone": "phone_number"}, "lastChanged", nested=True, id_="recordId"),
+    "paged_b": _parsed("records_b", "b", _TEXTS_B, "changedon", nested=False, id_="accountid"),
+    "whole_past": f"""
+        select *, {_T1} as valid_from, {_NO_TIME} as valid_to, true as is_current, {_CHECKSUM} as checksum from unified""",
+    "whole_now": f"select *, {_CHECKSUM} as checksum from old_unified",
+    "batches_a": """
+        select (row_number() over (order by unified_contact_id) - 1) // 90 as batch from outbox_a where a_id is not null""",
     "outbox_a": _outbox("a"),
     "outbox_b": _outbox("b"),
     "parsed_a": _parsed("raw_a", "a", _TEXTS_A, "modified", nested=True),
@@ -244,7 +293,10 @@ QUERIES = {
         from parsed_a where {_REASON_SINCE} is not null""",
     "ingest_counts": _COUNTS.format("a", _reason("a")) + " union all " + _COUNTS.format("b", _reason("b")),
     "incremental_filter": "select * from events where ts >= timestamp '2024-01-10 00:00:00'",
-    "ordered_changes": "select event_id, ts, user_id, event_type from events order by ts, event_id",
+    "ordered_changes": """
+        select event_id, ts, user_id, event_type,
+            cast(row_number() over (partition by cast(ts as date) order by ts, event_id) as int) as place
+        from events""",
     "batch_high_water": "select count(*) as records, max(ts) as high_water from events",
     "option_set_dim": """
         select option_set, label, code from (
@@ -287,19 +339,57 @@ QUERIES = {
     "outbox_b": "select * from outbox_b",
     "payload_explode": "select unified_contact_id, a_id, field, value from deltas_a",
     "pending_outbox": """
-        select unified_contact_id, a_id, payload, coalesce(a_id, '') <> '' as deliverable
-        from outbox_a order by unified_contact_id limit 90""",
+        select unified_contact_id, a_id, payload, attempt, coalesce(a_id, '') <> '' as deliverable
+        from applied_a where status = 'PENDING' order by attempt, last_attempt_ts nulls first, unified_contact_id limit 90""",
     "outbox_dead_letter": f"""
         select {_T2} as ts, 'a' as system, 'contacts' as entity, unified_contact_id as key,
             'Missing a_id' as reason, payload
         from outbox_a where a_id is null""",
-    "outbox_apply_results": f"""
-        select o.unified_contact_id, o.a_id, o.payload,
-            case when r.a_id is not null then {_status('r.http_code')}
-                 when o.a_id is null then 'FAILED' else o.status end as status,
-            cast(case when r.a_id is not null then 1 else 0 end as int) as attempt,
-            case when r.a_id is not null then {_T2} end as last_attempt_ts
-        from outbox_a o left join push_results_a r on o.a_id = r.a_id""",
+    "outbox_apply_results": "select * from applied_a",
+    "push_batches": """
+        select (row_number() over (order by attempt, last_attempt_ts nulls first, unified_contact_id) - 1) // 90 as batch,
+            unified_contact_id, a_id, payload, attempt
+        from applied_a where status = 'PENDING' and a_id is not null""",
+    "payload_dead_letter": f"""
+        select {_T2} as ts, 'a' as system, 'contacts' as entity, unified_contact_id as key,
+            case when a_id is null then 'Missing a_id' else 'Unreadable payload' end as reason,
+            case when length(payload) % 5 = 0 then payload[:-2] else payload end as payload
+        from outbox_a where a_id is null or length(payload) % 5 = 0""",
+    "bronze_pages_a": _accepted("a", _TEXTS_A, "paged_"),
+    "bronze_pages_b": _accepted("b", _TEXTS_B, "paged_"),
+    "time_texts": f"""
+        select event_id, text, {_time("case when length(text) = 10 then text || ' 00:00:00Z' when length(text) = 19 then text || 'Z' when text like '____-%' then text end")} as parsed
+        from time_texts""",
+    "row_checksum_prefixed": "select unified_contact_id, sha256(concat_ws('|', {})) as checksum from unified".format(
+        ", ".join(f"coalesce(length({c}) || ':' || {c}, '-')" for c in _FIELDS)
+    ),
+    "field_deltas_newest": "select unified_contact_id, a_id, field, value from newest_deltas_a",
+    "field_deltas_empty_is_null": "select unified_contact_id, b_id, field, value from empty_deltas_b",
+    "scd2_close_missing": f"""
+        select {_HISTORY} from (
+            select p.* replace (case when n.checksum is null or n.checksum <> p.checksum then {_T2} end as valid_to,
+                n.checksum is not null and n.checksum = p.checksum as is_current)
+            from whole_past p left join whole_now n on p.unified_contact_id = n.unified_contact_id)
+        union all
+        select {_HISTORY} from (
+            select n.*, {_T2} as valid_from, {_NO_TIME} as valid_to, true as is_current
+            from whole_now n left join whole_past p on p.unified_contact_id = n.unified_contact_id
+            where p.checksum is null or n.checksum <> p.checksum)""",
+    "sync_outboxes": """
+        select * rename (a_id as target_id), 'a' as system from run_applied_a union all
+        select * rename (b_id as target_id), 'b' as system from run_applied_b""",
+    "sync_letters": " union all ".join(f"""
+        select {_T2} as ts, '{s}' as system, 'contacts' as entity, unified_contact_id as key,
+            case when {s}_id is null then 'Missing {s}_id' else message end as reason, payload
+        from run_applied_{s} left join push_results_{s} using ({s}_id) where status = 'FAILED'""" for s in "ab"),
+    "sync_audit": " union all ".join(f"""
+        select ts, system, operation, status, http_code, n, message, (select max({s}_modified) from src_{s}) as watermark_ts from (
+            select {t} as ts, '{s}' as system, 'ingest' as operation, 'SUCCESS' as status, 200 as http_code, 1::bigint as n,
+                'Ingested ' || (select count(*) from src_{s} where {w}) || ' records' as message
+        )""" for s in "ab" for t, w in ((_T1, f"{s}_modified < {_T1}"), (_T2, "{0}_modified >= (select max({0}_modified) from src_{0} where {0}_modified < {1})".format(s, _T1)))) + " union all " + " union all ".join(f"""
+        select {_T2}, '{s}', 'push', case when http_code between 200 and 299 then 'SUCCESS' else 'FAILED' end, http_code,
+            count(*), cast(null as varchar), (select max({s}_modified) from src_{s})
+        from run_outbox_{s} join push_results_{s} using ({s}_id) group by http_code""" for s in "ab"),
     "audit_rows": f"""
         select {_T2} as ts, 'b' as system, 'contacts' as entity, 'push' as operation,
             'push-' || cast(cast(floor(epoch({_T2})) as bigint) as varchar) as request_id,
@@ -308,9 +398,9 @@ QUERIES = {
             case when http_code between 200 and 299 then null else payload end as payload
         from pushed_b
         union all
-        select {_T2}, 'a', 'contacts', 'push', 'push-999302400', 'SUCCESS', 200,
-            'Pushed ' || cast(count(*) as varchar) || ' records', null
-        from outbox_a where a_id is not null
+        select {_T2}, 'a', 'contacts', 'push', 'push-999302400', case when http_code = 200 then 'SUCCESS' else 'FAILED' end,
+            http_code, case when http_code = 200 then 'Pushed ' || n || ' records' else message end, null
+        from (select batch, count(*) as n from batches_a group by batch) join batch_results_a using (batch)
         union all
         select timestamp '2024-02-01 03:04:05', 'a', 'contacts', 'ingest', 'load-1706756645', 'SUCCESS', 200,
             'Ingested ' || cast(count(*) as varchar) || ' records',
@@ -350,8 +440,7 @@ QUERIES = {
         left join outbox_a a on u.unified_contact_id = a.unified_contact_id
         left join outbox_b b on u.unified_contact_id = b.unified_contact_id""",
     "stream_ingest": "select * from bronze_a",
-    "stream_snapshot": """
-        select a_id, a_modified, email, firstname, lastname, phone, mobilephone, jobtitle, company from bronze_a""",
+    "stream_snapshot": "select * from run_snap_a",
 }
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 UNIFIED_ID = "unified_contact_id"
 
@@ -13,6 +14,9 @@ class System:
 
     ``id`` and ``modified`` are unique to the system; ``attributes`` may share names with the other
     system, so a matched record prefixes them with the system's name (see ``matched``).
+
+    ``json_names`` tells how landed records name columns, where not as here: ``id`` and ``modified`` unless given, and
+    attributes by their own names.  ``records_at`` leads to the list of records in a landed page.
     """
 
     name: str
@@ -22,6 +26,13 @@ class System:
     attributes: tuple[str, ...]
     bronze_only: tuple[str, ...] = ()
     nested: str | None = None  # JSON object that holds the attributes, if any
+    json_names: Mapping[str, str] = field(default_factory=dict, hash=False)
+    records_at: tuple[str, ...] = ()
+
+    def json_name(self, column: str) -> str:
+        """The name of a column in landed records."""
+        usual = {self.id: "id", self.modified: "modified"}.get(column, column)
+        return self.json_names.get(column, usual)
 
     @property
     def snapshot_columns(self) -> tuple[str, ...]:
@@ -31,6 +42,7 @@ class System:
         return column if column in (self.id, self.modified) else f"{self.name}_{column}"
 
 
+# The attributes of either system.
 SYSTEM_A = System(
     name="a",
     id="a_id",
@@ -39,6 +51,7 @@ SYSTEM_A = System(
     attributes=("email", "firstname", "lastname", "phone", "mobilephone", "jobtitle", "company"),
     bronze_only=("lifecyclestage",),
     nested="properties",
+    records_at=("results",),
 )
 SYSTEM_B = System(
     name="b",
@@ -46,6 +59,7 @@ SYSTEM_B = System(
     modified="b_modified",
     email="emailaddress1",
     attributes=("emailaddress1", "firstname", "lastname", "telephone1", "mobilephone", "jobtitle", "company"),
+    records_at=("value",),
 )
 
 

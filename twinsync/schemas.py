@@ -57,7 +57,21 @@ def history(entity: Entity) -> T.StructType:
     return _schema(*((f.name, f.dataType) for f in unified(entity).fields), *times)
 
 
+def keyed(system: System) -> T.StructType:
+    return _schema((UNIFIED_ID, _STR), ("match_email", _STR), *((f.name, f.dataType) for f in snapshot(system).fields))
+
+
+def changes(system: System) -> T.StructType:
+    """Records that a run changed, with the key that each had before and has now."""
+    return _schema(("old_uid", _STR), *((f.name, f.dataType) for f in keyed(system).fields))
+
+
+def batches(system: System) -> T.StructType:
+    return _schema(("batch", T.LongType()), (UNIFIED_ID, _STR), (system.id, _STR), ("payload", _STR))
+
+
 WATERMARKS = _schema(("entity", _STR), ("source", _STR), ("watermark_ts", _TIME), ("updated_at", _TIME))
+PUSHES = _schema((UNIFIED_ID, _STR), ("status", _STR), ("attempt", _INT), ("last_attempt_ts", _TIME))
 AUDIT_LOG = _schema(
     ("ts", _TIME), ("system", _STR), ("entity", _STR), ("operation", _STR), ("request_id", _STR),
     ("status", _STR), ("http_code", _INT), ("message", _STR), ("payload", _STR),
@@ -66,25 +80,46 @@ DEAD_LETTER = _schema(
     ("ts", _TIME), ("system", _STR), ("entity", _STR), ("key", _STR), ("reason", _STR), ("payload", _STR)
 )
 
+# States that lie in one bucket: a row per source, however many records there are.
+SMALL_STATES = ("meta/watermarks",)
+
+
 def tables(entity: Entity) -> dict[str, T.StructType]:
-    """Layer and schema of each table."""
+    """Layer and schema of each table.  Those in ``state_keys`` are states, the others logs."""
     per_system = {}
     for system in entity.systems:
         per_system[f"bronze/{system.name}_raw"] = landed(system)
         per_system[f"silver/{system.name}_snapshot"] = snapshot(system)
+        per_system[f"silver/{system.name}_changes"] = changes(system)
+        per_system[f"silver/{system.name}_keyed"] = keyed(system)
         per_system[f"gold/{system.name}_outbox"] = outbox(system)
+        per_system[f"gold/{system.name}_pushes"] = PUSHES
+        per_system[f"gold/{system.name}_batches"] = batches(system)
     return {
         **per_system,
         "silver/matched": matched(entity),
         "silver/crosswalk": crosswalk(entity),
         "silver/unified": unified(entity),
-        "silver/history": history(entity),
+        "silver/history_open": history(entity),
+        "silver/history_closed": history(entity),
         "meta/watermarks": WATERMARKS,
         "meta/audit_log": AUDIT_LOG,
         "meta/dead_letter": DEAD_LETTER,
     }
 
 
+def state_keys(entity: Entity) -> dict[str, tuple[str, ...]]:
+    """The columns that each state's rows are dealt to buckets by."""
+    keys: dict[str, tuple[str, ...]] = {"meta/watermarks": ("entity", "source")}
+    for system in entity.systems:
+        keys[f"silver/{system.name}_snapshot"] = (system.id,)
+        for name in ("silver/{}_keyed", "gold/{}_outbox", "gold/{}_pushes", "gold/{}_batches"):
+            keys[name.format(system.name)] = (UNIFIED_ID,)
+    for name in ("matched", "crosswalk", "unified", "history_open"):
+        keys[f"silver/{name}"] = (UNIFIED_ID,)
+    return keys
+
+
 # The tables of contacts.
 CROSSWALK, MATCHED, UNIFIED, HISTORY = (make(CONTACTS) for make in (crosswalk, matched, unified, history))
 TABLES = tables(CONTACTS)

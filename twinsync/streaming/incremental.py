@@ -1,22 +1,24 @@
 """Ingest and snapshot upkeep as streams over landed files.
 
-The stream's checkpoint takes the place of the position table: each run picks up the files that came
-since.  A micro-batch of ingest writes under the stream's own id and its batch id, so one that is repeated
-replaces itself, and a stream with a new checkpoint adds to what others wrote.  Snapshot upkeep may take
-in the same batch twice without harm.
+The stream's checkpoint takes the place of the position table: each run picks up the files that came since.  A
+micro-batch commits under the stream's own id and its batch id, all it writes at once, so a batch that is repeated after a
+failure is written if it was not, and left alone if it was.  A stream with a new checkpoint is another writer, and
+adds to what others wrote.  The job and any number of streams may write the same tables.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import Future
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinsync.operators.snapshot import refresh
+from twinsync.plans import sync_job
 from twinsync.rules import System
 from twinsync.sources import landing
-from twinsync.sources.tables import Tables
+from twinsync.sources.tables import Tables, Work, bucket_marks, bucket_of, marked_buckets
 
 
 def _landed(spark: SparkSession, landing_dir: str, files_per_batch: int | None) -> DataFrame:
@@ -26,14 +28,18 @@ def _landed(spark: SparkSession, landing_dir: str, files_per_batch: int | None)
     return reader.text(landing_dir).withColumnRenamed("value", "raw")
 
 
-def _stream_id(batch: DataFrame) -> str:
-    """The id that a stream keeps in its checkpoint."""
-    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+def _run_available(stream: DataFrame, tables: Tables, checkpoint: str, steps: Callable[[Work, DataFrame], None]) -> None:
+    """Takes in what is there, one commit per micro-batch."""
+    query_id: Future[str] = Future()
 
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # The id is kept in the checkpoint; it is known once the stream has started.
+        tables.run(lambda work: steps(work, batch), f"stream {query_id.result()}", batch_id)
 
-def _run_available(stream: DataFrame, checkpoint: str, write_batch) -> None:
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-    writer.trigger(availableNow=True).start().awaitTermination()
+    query = writer.trigger(availableNow=True).start()
+    query_id.set_result(query.id)
+    query.awaitTermination()
 
 
 def stream_ingest(
@@ -47,14 +53,12 @@ def stream_ingest(
     """Takes in all landed files not seen before, then returns the whole bronze table."""
     name = f"bronze/{system.name}_raw"
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = landing.sort_out(landing.parse_records(batch, system, load_ts), system)
-        step = f"stream_{_stream_id(batch)}"
-        stored = tables.append(name, rows, batch_id, step, ("rejected", "load_date"))
-        letters = landing.rejected_letters(stored, system, load_ts)
-        tables.append("meta/dead_letter", letters, batch_id, step, ("system", "entity"))
+    def steps(work: Work, batch: DataFrame) -> None:
+        found = sync_job.ingest(work, batch, system, load_ts, None)
+        if found.letters is not None:
+            work.append("meta/dead_letter", found.letters, ("system", "entity"))
 
-    _run_available(_landed(tables.spark, landing_dir, files_per_batch), checkpoint, write_batch)
+    _run_available(_landed(tables.spark, landing_dir, files_per_batch), tables, checkpoint, steps)
     return landing.kept(tables.log(name), system)
 
 
@@ -68,19 +72,18 @@ def stream_snapshot(
 ) -> DataFrame:
     """Keeps the snapshot of a system current with its landed files, then returns it.
 
-    A micro-batch rewrites the snapshot, so give it as many files as the cluster takes at once; without
-    ``files_per_batch`` a run is a single batch.
+    A micro-batch rewrites the buckets of the snapshot that its records change, and adds to the system's changes, which
+    the next run of the job takes on to matches, history and outboxes.
     """
-    name = f"silver/{system.name}_snapshot"
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
+    def steps(work: Work, batch: DataFrame) -> None:
         parsed = landing.parse_records(batch, system, load_ts)
-        changes = landing.accepted_records(parsed, system).persist()
-        tables.replace(name, refresh(tables.state(name), changes, system))
-        changes.unpersist()
+        changes = work.scratch(f"stream/{system.name}", landing.accepted_records(parsed, system))
+        marks = changes.agg(bucket_marks(bucket_of([system.id], tables.buckets)).alias("buckets")).first()
+        sync_job.take_in(work, changes, marked_buckets(marks["buckets"]), system)
 
-    _run_available(_landed(tables.spark, landing_dir, files_per_batch), checkpoint, write_batch)
-    return tables.state(name)
+    _run_available(_landed(tables.spark, landing_dir, files_per_batch), tables, checkpoint, steps)
+    return tables.state(f"silver/{system.name}_snapshot")
 
 
 def land_text(rows: DataFrame, landing_dir: str) -> None:
