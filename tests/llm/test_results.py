@@ -135,8 +135,8 @@ def test_overfull_ranges_are_subdivided(spark):
 
 def test_tokens(texts):
     whole = Tokenizer.from_file(TOKENIZER)
-    whole.encode_special_tokens = True
-    odd = ["  a  b\n\n c\t d ", "it's\nx <|endoftext|> a", "\n", "a \n b", "é　x y 1234,5'll don't", " lead", "trail ", "a\r\nb c", "😀 x"]
+    odd = ["<|endoftext|>", "a<|endoftext|><|endoftext|> b\n<|endoftext|>\n", "<|endoftext|", "x <|endoftext|> a <|endof"]
+    odd += ["  a  b\n\n c\t d ", "it's\nx <|endoftext|> a", "\n", "a \n b", "é　x y 1234,5'll don't", " lead", "trail ", "a\r\nb c", "😀 x"]
     ids = Ids(TOKENIZER)
     for text in [*odd, *texts.values()][:250]:
         assert np.frombuffer(ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 import tiktoken
@@ -44,8 +45,8 @@ class Ids:
     """Ids of texts as little-endian unsigned 32-bit numbers, by a byte-level vocabulary file.
 
     The vocabulary's pieces never join a word to the blank after it, so a text may be cut at each single blank or
-    line feed between words.  Texts with any other run of white space are encoded as a whole.  Strings of special
-    tokens are ordinary text.
+    line feed between words.  Texts with any other run of white space are encoded as a whole.  Texts are split first where the
+    file's added tokens stand, the longest of those that begin at one place, and these take their own ids.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,11 +58,24 @@ class Ids:
         self.merge = tiktoken.Encoding("ids", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.first, self.later = _Words(self._whole, ""), _Words(self._whole, " ")
         self.feed = self._whole("\n")
+        if any(token[flag] for token in model["added_tokens"] for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{path} has added tokens that take in what stands around them")
+        self.added = {t["content"]: np.array([t["id"]], dtype="<u4").tobytes() for t in model["added_tokens"]}
+        names = sorted(self.added, key=len, reverse=True)
+        self.split = re.compile(f"({'|'.join(map(re.escape, names))})").split if names else lambda text: [text]
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.merge(text), dtype="<u4").tobytes()
 
     def __call__(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        plain, *rest = self.split(text)
+        if not rest:
+            return self._plain(plain)
+        return b"".join(self.added[part] if i % 2 else self._plain(part) for i, part in enumerate([plain, *rest]))
+
+    def _plain(self, text: str) -> bytes:
         if not text:
             return b""
         try:
