@@ -279,8 +279,12 @@ def test_components(spark):
 
 
 def test_line_dedup(spark):
+    """Short lines in runs of three; lines of many words alone or in pairs, as single lines of a document too."""
     draw = random.Random(4)
-    texts = {i: "\n".join(draw.choice(["a", "b", "", "c", " "]) for _ in range(draw.randint(0, 14))) for i in range(60)}
+    long = [" ".join(f"w{draw.randint(0, 9)}" for _ in range(n)) for n in (30, 30, 49, 50, 60, 60)]
+    pools = [["a", "b", "", "c", " "]] * 60 + [["a", "", "\t x", *long]] * 60
+    texts = {i: "\n".join(draw.choice(pool) for _ in range(draw.randint(0, 14))) for i, pool in enumerate(pools)}
+    texts |= {200: long[4] + " once", 201: long[4] + " once", 202: long[0] + " pair\n" + long[1], 203: "x\n" + long[0] + " pair\n\n" + long[1]}
     docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3)
     found = by_id(line_dedup.remove_repeats(docs))
     first = {}
@@ -288,13 +292,18 @@ def test_line_dedup(spark):
         lines = texts[i].split("\n")
         solid = [n for n, line in enumerate(lines) if line.strip(" ")]
         gone = set()
-        for at in range(len(solid) - 2):
-            run = tuple(lines[n] for n in solid[at:at + 3])
-            where = first.setdefault(run, (i, at))
-            if where[0] != i or at >= where[1] + 3:
-                gone |= set(solid[at:at + 3])
+        for at in range(len(solid)):
+            for size in (1, 2, 3):
+                run = tuple(lines[n] for n in solid[at:at + size])
+                words = sum(len(re.findall("[^ \t]+", line)) for line in run)
+                if len(run) < size or (size < 3 and words < 50):
+                    continue
+                where = first.setdefault(run, (i, at))
+                if where[0] != i or at >= where[1] + size:
+                    gone |= set(solid[at:at + size])
         assert found[i]["text"] == "\n".join(line for n, line in enumerate(lines) if n not in gone)
         assert (found[i]["n_lines"], found[i]["n_removed"]) == (len(solid), len(gone))
+    assert (found[201]["n_removed"], found[203]["text"]) == (1, "x\n")
 
 
 def test_chat_format(spark):

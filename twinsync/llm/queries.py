@@ -87,20 +87,23 @@ select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
 from d window w as (partition by text)
 """
 
-OP8_SQL = """
+OP8_SQL = r"""
 with l as (
   select doc_id, line, row_number() over (partition by doc_id order by spot) - 1 as p, spot
   from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
                generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as spot from documents)
   where trim(line) <> ''
 ), w as (
-  select doc_id, p, [line, lead(line) over d, lead(line, 2) over d] as run, lead(p, 2) over d as last
-  from l window d as (partition by doc_id order by p)
+  select doc_id, p, case n when 1 then [line] when 2 then [line, lead(line) over d] else [line, lead(line) over d, lead(line, 2) over d] end as run,
+         case n when 1 then p when 2 then lead(p) over d else lead(p, 2) over d end as last, n
+  from l, (values (1), (2), (3)) t(n) window d as (partition by doc_id, n order by p)
 ), f as (
-  select doc_id, p, first_value(doc_id) over g as d0, first_value(p) over g as p0
-  from w where last is not null window g as (partition by run order by doc_id, p)
+  select doc_id, p, n, first_value(doc_id) over g as d0, first_value(p) over g as p0
+  from w where last is not null
+    and (n = 3 or len(regexp_extract_all(list_aggregate(run, 'string_agg', ' '), '[^ \t]+')) >= 50)
+  window g as (partition by run order by doc_id, p)
 ), r as (
-  select distinct doc_id, p + i as p from f, (values (0), (1), (2)) t(i) where doc_id <> d0 or p >= p0 + 3
+  select distinct doc_id, p + i as p from f, (values (0), (1), (2)) t(i) where i < n and (doc_id <> d0 or p >= p0 + n)
 ), gone as (select l.doc_id, l.spot from l join r using (doc_id, p)),
 whole as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
