@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from twinsync.sources.files import open_path
+
 # What the operators count on.  AQE splits hot join partitions, coalesces small ones and turns
 # joins into broadcasts by measured size.  UTC keeps text and wall-clock times in step.
 RECOMMENDED = {
@@ -40,3 +45,27 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         shared = tempfile.mkdtemp(prefix="twinsync-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package wherever the session was started; once per session.
+
+    The package goes to the shared folder as a ZIP file, from which the executors take it.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root, packed = Path(__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, str(file.relative_to(root.parent)))
+    path = f"{work_folder(spark, 'code')}/twinsync.zip"
+    system, inner = open_path(path)
+    system.create_dir(inner.rpartition("/")[0], recursive=True)
+    with system.open_output_stream(inner) as stream:
+        stream.write(packed.getvalue())
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
