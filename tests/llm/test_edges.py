@@ -4,6 +4,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from twinsync.llm import (
     chat_format, decontamination, exact_dedup, language, line_dedup, lm_scoring, ngram_join, packing, quality, sharding,
 )
@@ -25,7 +26,8 @@ def docs(spark):
     rows = spark.createDataFrame(ROWS, "doc_id bigint, text string, lang string")
     # Names that operators use inside; they must neither fail nor show.
     return rows.repartition(3).withColumns({
-        c: F.lit("extra") for c in ("row", "name", "size", "key", "n", "label", "shard", "score", "piece", "block", "id", "count")
+        c: F.lit("extra") for c in ("row", "name", "size", "key", "n", "label", "shard", "score", "piece", "block", "id", "count", "doc", "sha", "t1",
+        "_sha", "_t1", "_t2", "_stay_id", "_stay_doc_id")
     })
 
 
@@ -43,6 +45,11 @@ def rows(df):
     return [r.asDict() for r in df.collect()]
 
 
+def unspoilt(found):
+    """The extra columns hold what they held."""
+    return all(r[c] == "extra" for r in rows(found) for c in found.columns if c not in ("doc_id", "text", "lang"))
+
+
 def test_exact_dedup(docs):
     found = rows(exact_dedup.mark_copies(docs))
     assert len(found) == len(ROWS)
@@ -54,7 +61,7 @@ def test_exact_dedup(docs):
     lone = [r for r in found if r["doc_id"] is None and r["group_size"] == 1]
     assert len(lone) == 1 and lone[0]["kept"] and lone[0]["keep_id"] is None
     left = exact_dedup.drop_copies(docs)
-    assert left.columns == docs.columns
+    assert left.columns == docs.columns and unspoilt(left)
     assert sorted((r["doc_id"] or 0) for r in rows(left)) == [0, 2, 3, 5, 6, 7, 8, 9]
 
 
@@ -126,7 +133,7 @@ def test_ngram_join(docs):
     assert [by_id[i]["component_id"] for i in (1, 2, 3, 4, 5, 6)] == [1, 2, 3, 4, 4, 6]
     assert sorted(str(r["component_id"]) for r in found if r["doc_id"] is None) == ["4", "None"]
     left = ngram_join.keep_one_of_each(docs)
-    assert left.columns == docs.columns
+    assert left.columns == docs.columns and unspoilt(left)
     assert sorted((r["doc_id"] or 0) for r in rows(left)) == [0, 1, 2, 3, 4, 6, 7, 8, 9]
 
 
@@ -154,3 +161,16 @@ def test_empty_tables(spark, docs, labels, benchmark):
     assert clean.count() == len(ROWS) and clean.where("contaminated").isEmpty()
     talks = spark.createDataFrame([], "conv_id bigint, turn int, role string, text string")
     assert chat_format.format_conversations(talks).count() == 0
+
+
+@pytest.mark.parametrize("filled", [True, False])
+def test_pipeline(spark, docs, labels, benchmark, tmp_path, filled):
+    """Nulls, empty and long texts, repeated rows and clashing names through all stages; and tables without rows."""
+    for name, df in (("documents", docs), ("labels", labels), ("benchmark", benchmark)):
+        (df if filled else df.limit(0)).write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = rows(corpus_pipeline.run(spark, str(tmp_path)))
+    assert {r["doc_id"] for r in found} <= {r[0] for r in ROWS} and bool(found) <= filled
+    tokens = {}
+    for r in found:
+        tokens[r["sequence_id"]] = tokens.get(r["sequence_id"], 0) + r["length"]
+    assert all(n <= 1024 for n in tokens.values())

@@ -116,8 +116,10 @@ def drop_copies(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     stay = mark_copies(docs, block_bytes).where("kept").select(
         F.col("doc_id").alias("_stay_id"), F.col("text_sha256").alias("_stay_sha")
     )
-    sha = F.sha2(whole_text().cast("binary"), 256)
-    marked = docs.withColumn("_sha", sha)
-    same = marked["doc_id"].eqNullSafe(stay["_stay_id"]) & (marked["_sha"] == stay["_stay_sha"])
-    left = marked.join(stay, same, "left_semi")
-    return left.dropDuplicates(["doc_id", "_sha"]).select(*docs.columns)
+    # The row travels as one value, so no name of its columns can clash.
+    marked = docs.select(
+        F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("id"),
+        F.sha2(whole_text().cast("binary"), 256).alias("sha"),
+    )
+    same = marked["id"].eqNullSafe(stay["_stay_id"]) & (marked["sha"] == stay["_stay_sha"])
+    return marked.join(stay, same, "left_semi").dropDuplicates(["id", "sha"]).select("doc.*")

@@ -284,10 +284,11 @@ def keep_one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     stay = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t1", "t2")).alias("stay"))
     stay = stored(stay.select(*(F.col(f"stay.{c}").alias(f"_stay_{c}") for c in ("doc_id", "t1", "t2"))), "stay")
     t1, t2 = _text_key()
-    keyed = docs.withColumns({"_t1": t1, "_t2": t2})
     wordless = ~whole_text().rlike(r"[^\x20\x09-\x0D]")
+    # The row travels as one value, so no name of its columns can clash.
+    keyed = docs.where(~wordless).select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("id"), t1, t2)
     same = (
-        keyed["doc_id"].eqNullSafe(stay["_stay_doc_id"]) & (keyed["_t1"] == stay["_stay_t1"]) & (keyed["_t2"] == stay["_stay_t2"])
+        keyed["id"].eqNullSafe(stay["_stay_doc_id"]) & (keyed["t1"] == stay["_stay_t1"]) & (keyed["t2"] == stay["_stay_t2"])
     )
-    left = keyed.where(~wordless).join(stay, same, "left_semi").dropDuplicates(["doc_id", "_t1", "_t2"])
-    return left.select(*docs.columns).union(docs.where(wordless).select(*docs.columns))
+    left = keyed.join(stay, same, "left_semi").dropDuplicates(["id", "t1", "t2"])
+    return left.select("doc.*").union(docs.where(wordless).select(*docs.columns))
