@@ -77,6 +77,9 @@ def audit_rows(
     )
 
 
+# Fixed values, here and below: the message texts of audit rows and dead letters.
+
+
 def _audit_status(http_code: Column) -> Column:
     return F.when(outcome_status(http_code) == "SUCCESS", "SUCCESS").otherwise("FAILED")
 

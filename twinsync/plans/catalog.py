@@ -438,6 +438,7 @@ def sync_flagship(spark, sf_dir):
 
 
 DROPS = 3
+SMALL = 4  # buckets of a state: the given tables are far below a gigabyte
 
 
 def _land_in_drops(rows: DataFrame, folder: str, drop) -> None:
@@ -451,7 +452,7 @@ def stream_ingest(spark, sf_dir):
     folder = work_folder(spark, "stream-ingest")
     _land_in_drops(view(spark, sf_dir, "raw_a"), f"{folder}/landing", F.crc32(F.col("raw").cast("binary")))
     return incremental.stream_ingest(
-        Tables(spark, f"{folder}/tables"), f"{folder}/landing", f"{folder}/checkpoint", SYSTEM_A, LOAD_TS, files_per_batch=2
+        Tables(spark, f"{folder}/tables", buckets=SMALL), f"{folder}/landing", f"{folder}/checkpoint", SYSTEM_A, LOAD_TS, files_per_batch=2
     )
 
 
@@ -464,7 +465,7 @@ def stream_snapshot(spark, sf_dir):
         drop = changes.where(F.col("a_version") % DROPS == number)
         incremental.land_text(landed_text(drop, SYSTEM_A).repartition(2), f"{folder}/landing")
     return incremental.stream_snapshot(
-        Tables(spark, f"{folder}/tables"), f"{folder}/landing", f"{folder}/checkpoint", SYSTEM_A, LOAD_TS, files_per_batch=2
+        Tables(spark, f"{folder}/tables", buckets=SMALL), f"{folder}/landing", f"{folder}/checkpoint", SYSTEM_A, LOAD_TS, files_per_batch=2
     )
 
 
@@ -473,7 +474,7 @@ def _two_runs(spark, sf_dir) -> Tables:
 
     The first run takes in what was modified before the first cut, the second all of it.
     """
-    tables = Tables(spark, work_folder(spark, "two-runs"))
+    tables = Tables(spark, work_folder(spark, "two-runs"), buckets=SMALL)
     sides = [_changes(spark, sf_dir, s) for s in (SYSTEM_A, SYSTEM_B)]
     first = [side.where(F.col(s.modified) < times.at(FIRST_CUT)) for side, s in zip(sides, (SYSTEM_A, SYSTEM_B))]
     for run_id, changes, as_of in ((1, first, AS_OF_1), (2, sides, AS_OF_2)):
