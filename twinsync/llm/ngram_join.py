@@ -2,24 +2,22 @@
 
 d(x, y) = 1 - |x and y| / |x or y| is a metric.  Two documents link at d <= r.
 
-1. **Voronoi regions of single shingles.**  Take every shingle {s} as a pivot.  A document of n shingles has its n nearest
-   pivots at one distance, 1 - 1/n; ties go by one order of all shingles, rare ones first.  Sets within r share
-   one of the first n - ceil((1 - r) n) + 1 shingles of either, so each document is copied into that many of its nearest
-   regions, and every linked pair meets in one.  Within a region, sizes of linked sets differ by the factor 1 - r at
-   most; so regions are cut into bands of size, and documents stand in the band above theirs as well.
-2. **Recursion on document pivots.**  A region takes one of its documents as pivot p.  The triangle inequality leaves:
-   those within r of p (linked through p already), those within 2r (these alone can link to the former), and the far.
-   Far and near-but-unlinked ones form a region of their own; linked and near ones form another.  Both go on with new
-   pivots.  Regions with one pivot go on as one cell; a cell whose documents are all in one component is done, and small
-   cells compare what is left.
-3. **Distances.**  A parity sketch of the set keeps or shortens distances; pairs it leaves are counted exactly.
-
-Equal sets are one node throughout.  Order and pivots affect the work, never the result.
+1. **Voronoi regions.**  Take every shingle {s} as a pivot.  A document of n shingles has its n nearest pivots at one
+   distance, 1 - 1/n; an order of all shingles settles the tie.  In each of a few orders a document lies in one region
+   and is compared with that region's least document.  Near copies share most of their regions, so this links large
+   groups at a cost in proportion to their size.  It need not find all.
+2. **Copies at the boundary.**  In one more order, rare shingles first, each document is copied into the regions that
+   the distance allows: sets within r share one of the first n - ceil((1 - r) n) + 1 shingles of either, so every linked
+   pair meets.  Regions whose documents are all in one component are done.
+3. **Windows.**  In what is left, only documents of different components are paired, and only if their sizes and the
+   places of the shared pivot in both orders leave them within r.  That joins the components that the first step left.
+4. **Distances.**  A parity sketch of the set keeps or shortens distances; pairs it leaves are counted exactly.
+
+Equal sets are one node throughout.  Orders and pivots affect the work, never the result.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,12 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinsync.llm.common import stored, whole_text
-from twinsync.llm.components import components, contracted
+from twinsync.llm.components import components
 from twinsync.llm.shingles import Shingler, common, identity, sketch, sketch_distance
 
 WORDS, PERCENT = 4, 85
 COMMON_FROM, COMMON_MOST = 8, 1 << 20
-LEAF = 24
+ORDERS = 4
+# Odd multipliers, one per order of the shingles (fixed values).
+_ORDERS = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xAEF17502108EF2D9], dtype=np.uint64)
 
 
 def _prefix(n: int, percent: int) -> int:
@@ -86,7 +86,7 @@ def _nodes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            sizes, ones, twos, sketches, firsts = [], [], [], [], []
+            sizes, ones, twos, sketches, firsts, least = [], [], [], [], [], []
             for text in batch.column("text"):
                 shingles, lengths = shingler(text.as_py())
                 one, two = identity(shingles)
@@ -95,160 +95,126 @@ def _nodes(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 twos.append(two)
                 sketches.append(sketch(shingles) if len(shingles) else b"")
                 firsts.append(_ordered(shingles, lengths, frequent.value, _prefix(len(shingles), percent) if len(shingles) else 0))
+                least.append((shingles[:, None] * _ORDERS).min(axis=0) if len(shingles) else shingles)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in ("doc_id", "t1", "t2")]
                 + [pa.array(sizes, pa.int64()), pa.array(ones, pa.int64()), pa.array(twos, pa.int64()),
-                   pa.array(sketches, pa.binary()), _lists(firsts)],
-                ["doc_id", "t1", "t2", "n", "f1", "f2", "sketch", "firsts"],
+                   pa.array(sketches, pa.binary()), _lists(firsts), _lists(least)],
+                ["doc_id", "t1", "t2", "n", "f1", "f2", "sketch", "firsts", "least"],
             )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     described = docs.select("doc_id", *_text_key(), "text").mapInArrow(
         describe,
-        f"doc_id {id_type}, t1 bigint, t2 bigint, n bigint, f1 bigint, f2 bigint, sketch binary, firsts array<bigint>",
+        f"doc_id {id_type}, t1 bigint, t2 bigint, n bigint, f1 bigint, f2 bigint, sketch binary, firsts array<bigint>, least array<bigint>",
     )
     return stored(described.withColumn("row", F.monotonically_increasing_id()), "described")
 
 
-def _regions(nodes: DataFrame, percent: int) -> DataFrame:
-    """Cells (pivot, id) of the regions of at least two nodes, cut into bands of size."""
-    spread = nodes.select("id", "n", F.explode("firsts").alias("shingle"))
-    shared = spread.groupBy("shingle").count().where("count > 1").select("shingle")
-    spread = spread.join(shared, "shingle")
-    step = math.log(100 / (percent - 0.1))
-    band = F.floor(F.log("n") / F.lit(step))
-    banded = spread.select("id", "n", "shingle", F.explode(F.array(band, band + 1)).alias("band"))
-    banded = stored(banded.select(F.xxhash64("shingle", "band").alias("key"), "id"), "banded")
-    return _cells(banded.withColumn("turn", F.lit(0)))
-
-
-def _cells(regions: DataFrame) -> DataFrame:
-    """Rows (pivot, id) of regions (key, id, turn): each takes its least document, by turn and id, as pivot.
-
-    Near copies share most of their nearest pivots, so most regions hold nearly the same documents.  Those that take the
-    same pivot become one cell; that adds pairs to look at, and loses none.  Regions of a single document are left out.
-    """
-    pivots = regions.groupBy("key").agg(F.min(F.struct("turn", "id")).alias("least"), F.count(F.lit(1)).alias("size"))
-    pivots = stored(pivots.where("size > 1").select("key", F.col("least.id").alias("pivot")), "pivots")
-    return stored(regions.join(pivots, "key").select("pivot", "id").distinct(), "cells")
+def _with(pairs: DataFrame, side: str, table: DataFrame, *columns: str) -> DataFrame:
+    """Adds a table's columns for one end of the pairs."""
+    other = table.select(F.col("id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
+    return pairs.join(other, side)
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """The whole sets of some nodes (id), each read from one document that has it."""
-    wanted = stored(nodes.join(ids, "id", "left_semi").select("t1", "t2", "id"), "wanted")
-    found = docs.select(*_text_key(), "text").join(wanted, ["t1", "t2"])
-    found = found.groupBy("id").agg(F.first("text").alias("text"))
+def _near_by_sketch(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b), with ``n_a`` and ``n_b``, that their sketches leave within the distance."""
+    both = _with(_with(pairs, "a", nodes, "n", "sketch"), "b", nodes, "n", "sketch")
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingler(text.as_py())[0].tobytes() for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "members"])
+            apart = [sketch_distance(x.as_py(), y.as_py()) for x, y in zip(batch.column("sketch_a"), batch.column("sketch_b"))]
+            sizes = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            near = pa.array((100 + percent) * np.array(apart, dtype=np.int64) <= (100 - percent) * sizes)
+            yield batch.select(["a", "b", "n_a", "n_b"]).filter(near)
 
-    return stored(found.mapInArrow(read, "id bigint, members binary"), "sets")
+    return stored(both.mapInArrow(run, "a bigint, b bigint, n_a bigint, n_b bigint"), "near")
 
 
-def _with(pairs: DataFrame, side: str, table: DataFrame, *columns: str) -> DataFrame:
-    """Adds a table's columns for one end of the pairs."""
-    other = table.select(F.col("id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
-    return pairs.join(other, side)
-
+def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link: those that sketches leave are counted on their whole sets.
 
-def _overlap(pairs: DataFrame, column: str, function, name: str) -> DataFrame:
-    """Replaces a binary column of both ends by a number made of both."""
-    keep = [c for c in pairs.columns if c not in (f"{column}_a", f"{column}_b")]
+    Texts travel, not sets: they are smaller.
+    """
+    near = _near_by_sketch(pairs, nodes, percent)
+    ends = near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))).distinct()
+    wanted = stored(nodes.join(ends, "id", "left_semi").select("id", "t1", "t2"), "wanted")
+    # Copies of a text meet before they are moved.
+    own = docs.select(*_text_key(), "text").groupBy("t1", "t2").agg(F.first("text").alias("text"))
+    texts = stored(own.join(wanted, ["t1", "t2"]).select("id", "text"), "texts")
+    both = _with(_with(near, "a", texts, "text"), "b", texts, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, at, right = Shingler(words), None, b""
         for batch in batches:
-            values = [
-                function(x.as_py(), y.as_py()) for x, y in zip(batch.column(f"{column}_a"), batch.column(f"{column}_b"))
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(values, pa.int64())], [*keep, name]
-            )
+            a, b, keep = batch.column("a").to_pylist(), batch.column("b").to_pylist(), []
+            for i in range(batch.num_rows):
+                if b[i] != at:  # rows that share an end mostly stand together
+                    at, right = b[i], shingler(batch.column("text_b")[i].as_py())[0].tobytes()
+                left = shingler(batch.column("text_a")[i].as_py())[0].tobytes()
+                shared = common(left, right)
+                keep.append(100 * shared >= percent * ((len(left) + len(right)) // 8 - shared))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    schema = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in keep)
-    return pairs.mapInArrow(run, f"{schema}, {name} bigint")
-
-
-def _compare(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with ``linked`` and ``far``: whether they link, and whether d is over 2r."""
-    measured = _overlap(_with(_with(pairs, "a", nodes, "n", "sketch"), "b", nodes, "n", "sketch"), "sketch", sketch_distance, "apart")
-    both = F.col("n_a") + F.col("n_b")
-    # Shared members are at most half of what the sketch leaves, and at most the smaller set.
-    most = F.least(F.floor((both - F.col("apart")) / 2), F.col("n_a"), F.col("n_b"))
-    measured = stored(measured.withColumn("most", most), "measured")
-    reach = lambda shared, share: 100 * shared >= share * (both - shared)
-    twice = 2 * percent - 100
-    unclear = measured.where(reach(F.col("most"), percent))
-    exact = _overlap(_with(_with(unclear, "a", sets, "members"), "b", sets, "members"), "members", common, "shared")
-    clear = measured.where(~reach(F.col("most"), percent)).select(
-        "a", "b", F.lit(False).alias("linked"), (~reach(F.col("most"), twice)).alias("far")
-    )
-    return clear.union(exact.select(
-        "a", "b", reach(F.col("shared"), percent).alias("linked"), (~reach(F.col("shared"), twice)).alias("far")
-    ))
+    return stored(both.mapInArrow(run, "a bigint, b bigint").distinct(), "linked")
 
 
-def _join_regions(docs: DataFrame, nodes: DataFrame, words: int, percent: int, leaf: int) -> DataFrame:
-    """Labels (node, label) of all nodes that link to another.
+def _to_pivots(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each document with the pivots of its nearest regions, one region in each of the orders.
 
-    Between rounds, components are only pulled together by one pass: that may leave a finished region open, never
-    close an open one.
+    A region's pivot is its least document.  There are no more pairs than documents and orders, however large a group is.
     """
-    nodes = nodes.select("id", "n", "sketch", "t1", "t2", "firsts")
-    cells = _regions(nodes, percent)
-    sets = _sets(docs, nodes, cells.select("id").distinct(), words)
-    links = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
-    known, round_ = None, 0
-    while True:
-        # Cells in one component are done; the others compare all with the pivot, or all pairs if they are small.
-        labels = links.groupBy("a").agg(F.min("b").alias("label")).withColumnRenamed("a", "id")
-        labelled = cells.join(labels, "id", "left").select("pivot", "id", F.coalesce("label", "id").alias("label"))
-        labelled = stored(labelled, "labelled") if round_ else labelled
-        small = F.count(F.lit(1)) <= leaf if round_ else F.lit(False)
-        shape = labelled.groupBy("pivot").agg(small.alias("small"), F.min("label").alias("least"), F.max("label").alias("most"))
-        shape = stored(shape.where("least <> most").select("pivot", "small"), "shape")
-        members = stored(labelled.join(shape, "pivot"), "members")
-        if members.isEmpty():
-            return components(links)
-        stars = members.where(~F.col("small") & (F.col("id") != F.col("pivot"))).select(
-            F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")
-        )
-        leaves = members.where("small").select("pivot", "id", "label")
-        left, right = leaves.toDF("pivot", "a", "label_a"), leaves.toDF("pivot", "b", "label_b")
-        crossed = left.join(right, "pivot").where("a > b and label_a <> label_b").select("a", "b")
-        pairs = (stars.union(crossed) if round_ else stars).distinct()
-        if known is not None:
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        found = stored(_compare(stored(pairs, "pairs"), nodes, sets, percent), "compared")
-        known = found if known is None else known.unionByName(found)
-        links = contracted(links.union(found.where("linked").select("a", "b")))
-
-        # What stands where, seen from the pivot; small cells are through.
-        seen = members.where(~F.col("small") & (F.col("id") != F.col("pivot"))).select(
-            "id", "pivot", F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")
-        )
-        seen = stored(seen.join(known, ["a", "b"]).select("id", "pivot", "linked", "far"), "seen")
-        beyond = seen.where(~F.col("linked")).select(F.xxhash64("pivot", F.lit(1)).alias("key"), "id", F.lit(0).alias("turn"))
-        shell = seen.where(~F.col("linked") & ~F.col("far"))
-        ball = seen.where("linked").join(shell.select("pivot").distinct(), "pivot", "left_semi")
-        around = ball.withColumn("turn", F.lit(1)).unionByName(shell.withColumn("turn", F.lit(0))).select(
-            F.xxhash64("pivot", F.lit(2)).alias("key"), "id", "turn"
-        )
-        cells = _cells(stored(beyond.union(around), "open"))
-        round_ += 1
-        leaf *= 3 if round_ > 1 else 1  # so that there are no more rounds than a logarithm of the largest cell
-
-
-def _grouped(docs: DataFrame, words: int, percent: int, leaf: int) -> DataFrame:
+    marks = F.explode(F.array(*(F.xxhash64(F.lit(k), F.col("least")[k]) for k in range(ORDERS)))).alias("key")
+    keyed = stored(nodes.select(F.col("id").alias("a"), marks), "keyed")
+    pivots = stored(keyed.groupBy("key").agg(F.min("a").alias("b"), F.max("a").alias("most")).where("b < most"), "pivots")
+    return stored(keyed.join(pivots, "key").where("a > b").select("a", "b").distinct(), "pairs")
+
+
+def _within_regions(nodes: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different components that meet in a region and that its windows leave.
+
+    Of two sets within the distance, at most (n_a + n_b)(1 - t)/(1 + t) members are of one side only.  In the region of
+    their first shared shingle all that stands before it is such: so the two places in order add up to no more, and one
+    of the two is *light*, its place no more than its own part.  A region without a light document or with documents of
+    one component only is done.
+    """
+    one, two = 100 - percent, 100 + percent
+    labels = components(links).withColumnRenamed("node", "id")
+    spread = nodes.join(labels, "id", "left").select(
+        "id", F.coalesce("label", "id").alias("label"), "n", F.posexplode("firsts").alias("place", "shingle")
+    )
+    spread = spread.withColumn("light", F.col("place") * two <= F.col("n") * one)
+    regions = spread.groupBy("shingle").agg(
+        F.min("label").alias("least"), F.max("label").alias("most"), F.max("light").alias("any_light")
+    )
+    regions = stored(regions.where("least <> most and any_light").select("shingle"), "regions")
+    spread = stored(spread.join(regions, "shingle", "left_semi"), "spread")
+    left = spread.where("light").select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("id", "label", "n", "place")))
+    right = spread.select("shingle", "light", *(F.col(c).alias(f"{c}_b") for c in ("id", "label", "n", "place")))
+    window = (F.col("place_a") + F.col("place_b")) * two <= (F.col("n_a") + F.col("n_b")) * one
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    # Pairs of two light documents stand there twice.
+    once = ~F.col("light") | (F.col("id_a") < F.col("id_b"))
+    met = left.join(right, "shingle").where((F.col("label_a") != F.col("label_b")) & window & sizes & once)
+    return stored(met.select(F.greatest("id_a", "id_b").alias("a"), F.least("id_a", "id_b").alias("b")).distinct(), "pairs")
+
+
+def _join_regions(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """Labels (node, label) of all nodes that link to another."""
+    links = _linked(docs, nodes, _to_pivots(nodes), words, percent)
+    met = _within_regions(nodes, links, percent)
+    return components(stored(links.union(_linked(docs, nodes, met, words, percent)), "links"))
+
+
+def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """A row per row of ``docs``: doc_id, t1, t2, n, and ``label``, null for rows without words."""
     rows = _nodes(docs, words, percent)
     full = rows.where("n > 0")
     nodes = stored(full.groupBy("f1", "f2").agg(
-        F.min("row").alias("id"), *(F.first(c).alias(c) for c in ("n", "sketch", "t1", "t2", "firsts"))
-    ), "nodes")
-    labels = _join_regions(docs, nodes, words, percent, leaf).withColumnRenamed("node", "id")
+        F.min("row").alias("id"), F.min(F.struct("t1", "t2")).alias("one"),
+        *(F.first(c).alias(c) for c in ("n", "sketch", "firsts", "least")),
+    ).select("f1", "f2", "id", "one.*", "n", "sketch", "firsts", "least"), "nodes")
+    labels = _join_regions(docs, nodes, words, percent).withColumnRenamed("node", "id")
     named = nodes.select("f1", "f2", "id").join(labels, "id", "left").select(
         "f1", "f2", F.coalesce("label", "id").alias("label")
     )
@@ -258,7 +224,7 @@ def _grouped(docs: DataFrame, words: int, percent: int, leaf: int) -> DataFrame:
     return stored(joined.select("doc_id", "t1", "t2", "n", "label").unionByName(none), "grouped")
 
 
-def mark_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, leaf: int = LEAF) -> DataFrame:
+def mark_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
     Two rows link when 100 * shared >= percent * all of their different shingles; component_id is the least doc_id that
@@ -267,7 +233,7 @@ def mark_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, lea
     no id: the component is named by the least other, and is null if there is none.  Other columns are left out.
     No rows give no rows.
     """
-    rows = _grouped(docs, words, percent, leaf)
+    rows = _grouped(docs, words, percent)
     least = stored(rows.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least")), "least")
     return rows.join(least, "label", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
@@ -275,12 +241,12 @@ def mark_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, lea
     )
 
 
-def keep_one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, leaf: int = LEAF) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, with all their columns, but one of each group: that with the least id (null ids last).
 
     Rows without words all stay.
     """
-    rows = _grouped(docs, words, percent, leaf).where("label is not null")
+    rows = _grouped(docs, words, percent).where("label is not null")
     stay = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t1", "t2")).alias("stay"))
     stay = stored(stay.select(*(F.col(f"stay.{c}").alias(f"_stay_{c}") for c in ("doc_id", "t1", "t2"))), "stay")
     t1, t2 = _text_key()
