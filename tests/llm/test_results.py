@@ -258,11 +258,11 @@ def near_copies(seed, groups, each, length):
     return texts
 
 
-@pytest.mark.parametrize("percent", [85, 80])
-def test_ngram_join(spark, percent):
+@pytest.mark.parametrize("percent, leaf", [(85, 32), (85, 1), (80, 1)])
+def test_ngram_join(spark, percent, leaf):
     texts = near_copies(3, 6, 14, 90)
     docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
-    found = by_id(ngram_join.mark_groups(docs, 4, percent))
+    found = by_id(ngram_join.mark_groups(docs, 4, percent, leaf))
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in found.items()} == components_of(texts, 4, percent)
 
 

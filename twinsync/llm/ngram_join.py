@@ -9,8 +9,10 @@ d(x, y) = 1 - |x and y| / |x or y| is a metric.  Two documents link at d <= r.
 2. **Copies at the boundary.**  In one more order, rare shingles first, each document is copied into the regions that
    the distance allows: sets within r share one of the first n - ceil((1 - r) n) + 1 shingles of either, so every linked
    pair meets.  Regions whose documents are all in one component are done.
-3. **Windows.**  In what is left, only documents of different components are paired, and only if their sizes and the
-   places of the shared pivot in both orders leave them within r.  That joins the components that the first step left.
+3. **Windows and recursion.**  In what is left, only documents of different components are paired, and only if their
+   sizes and the places of the shared pivot in both orders leave them within r.  A large region first goes on around
+   a document c at its center: x -> x ^ c keeps distances between sets, so the members in which documents differ from
+   c make regions and windows of the same kind, in which what a group has in common no longer counts.
 4. **Distances.**  A parity sketch of the set keeps or shortens distances; pairs it leaves are counted exactly.
 
 Equal sets are one node throughout.  Orders and pivots affect the work, never the result.
@@ -31,7 +33,7 @@ from twinsync.llm.shingles import Shingler, common, identity, sketch, sketch_dis
 
 WORDS, PERCENT = 4, 85
 COMMON_FROM, COMMON_MOST = 8, 1 << 20
-ORDERS = 4
+ORDERS, LEAF = 4, 32
 # Odd multipliers, one per order of the shingles (fixed values).
 _ORDERS = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xAEF17502108EF2D9], dtype=np.uint64)
 
@@ -44,13 +46,17 @@ def _text_key() -> list[Column]:
     return [F.xxhash64(whole_text()).alias("t1"), F.xxhash64(F.lit(1), whole_text()).alias("t2")]
 
 
-def _ordered(shingles: np.ndarray, lengths: np.ndarray, frequent: np.ndarray, count: int) -> np.ndarray:
+def _late(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """1 for the shingles that are known as frequent, else 0."""
+    if not len(frequent):
+        return np.zeros(len(shingles), dtype=np.int64)
+    at = np.searchsorted(frequent, shingles)
+    at[at == len(frequent)] = 0
+    return (frequent[at] == shingles).astype(np.int64)
+
+
+def _ordered(shingles: np.ndarray, lengths: np.ndarray, late: np.ndarray, count: int) -> np.ndarray:
     """The first ``count`` shingles in the order of all: not known as frequent, long, by number."""
-    late = np.zeros(len(shingles), dtype=np.int64)
-    if len(frequent):
-        at = np.searchsorted(frequent, shingles)
-        at[at == len(frequent)] = 0
-        late = (frequent[at] == shingles).astype(np.int64)
     order = np.argsort(late * 1024 - np.minimum(lengths, 1000), kind="stable")
     return shingles[order[:count]]
 
@@ -70,7 +76,7 @@ def _frequent(docs: DataFrame, words: int, percent: int) -> np.ndarray:
             found = []
             for text in batch.column("text"):
                 shingles, lengths = shingler(text.as_py())
-                found.append(_ordered(shingles, lengths, none, 3 * _prefix(len(shingles), percent) // 2))
+                found.append(_ordered(shingles, lengths, _late(shingles, none), 3 * _prefix(len(shingles), percent) // 2))
             yield pa.RecordBatch.from_arrays([_lists(found).flatten()], ["shingle"])
 
     counts = docs.select("text").mapInArrow(firsts, "shingle bigint").groupBy("shingle").count()
@@ -86,7 +92,7 @@ def _nodes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            sizes, ones, twos, sketches, firsts, least = [], [], [], [], [], []
+            sizes, ones, twos, sketches, firsts, least, rare = [], [], [], [], [], [], []
             for text in batch.column("text"):
                 shingles, lengths = shingler(text.as_py())
                 one, two = identity(shingles)
@@ -94,19 +100,23 @@ def _nodes(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 ones.append(one)
                 twos.append(two)
                 sketches.append(sketch(shingles) if len(shingles) else b"")
-                firsts.append(_ordered(shingles, lengths, frequent.value, _prefix(len(shingles), percent) if len(shingles) else 0))
+                late = _late(shingles, frequent.value)
+                rare.append(len(late) - int(late.sum()))
+                firsts.append(_ordered(shingles, lengths, late, _prefix(len(shingles), percent) if len(shingles) else 0))
                 least.append((shingles[:, None] * _ORDERS).min(axis=0) if len(shingles) else shingles)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in ("doc_id", "t1", "t2")]
                 + [pa.array(sizes, pa.int64()), pa.array(ones, pa.int64()), pa.array(twos, pa.int64()),
-                   pa.array(sketches, pa.binary()), _lists(firsts), _lists(least)],
-                ["doc_id", "t1", "t2", "n", "f1", "f2", "sketch", "firsts", "least"],
+                   pa.array(sketches, pa.binary()), _lists(firsts), _lists(least),
+                   pa.array(rare, pa.int64())],
+                ["doc_id", "t1", "t2", "n", "f1", "f2", "sketch", "firsts", "least", "rare"],
             )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     described = docs.select("doc_id", *_text_key(), "text").mapInArrow(
         describe,
-        f"doc_id {id_type}, t1 bigint, t2 bigint, n bigint, f1 bigint, f2 bigint, sketch binary, firsts array<bigint>, least array<bigint>",
+        f"doc_id {id_type}, t1 bigint, t2 bigint, n bigint, f1 bigint, f2 bigint, sketch binary, firsts array<bigint>, least array<bigint>, "
+        "rare bigint",
     )
     return stored(described.withColumn("row", F.monotonically_increasing_id()), "described")
 
@@ -131,90 +141,155 @@ def _near_by_sketch(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFra
     return stored(both.mapInArrow(run, "a bigint, b bigint, n_a bigint, n_b bigint"), "near")
 
 
-def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: those that sketches leave are counted on their whole sets.
-
-    Texts travel, not sets: they are smaller.
-    """
-    near = _near_by_sketch(pairs, nodes, percent)
-    ends = near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))).distinct()
+def _with_texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs with the texts of both ends.  Texts travel, not sets: they are smaller."""
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     wanted = stored(nodes.join(ends, "id", "left_semi").select("id", "t1", "t2"), "wanted")
     # Copies of a text meet before they are moved.
     own = docs.select(*_text_key(), "text").groupBy("t1", "t2").agg(F.first("text").alias("text"))
     texts = stored(own.join(wanted, ["t1", "t2"]).select("id", "text"), "texts")
-    both = _with(_with(near, "a", texts, "text"), "b", texts, "text")
+    return _with(_with(pairs, "a", texts, "text"), "b", texts, "text")
+
+
+def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, np.ndarray]]:
+    """Each row's batch and place, and the sets of its two texts."""
+    shingler, at, right = Shingler(words), None, None
+    for batch in batches:
+        ends = batch.column("b").to_pylist()
+        for i, end in enumerate(ends):
+            if end != at:  # rows that share this end mostly stand together
+                at, right = end, shingler(batch.column("text_b")[i].as_py())[0]
+            yield batch, i, shingler(batch.column("text_a")[i].as_py())[0], right
+
+
+def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link: those that sketches leave are counted on their whole sets."""
+    both = _with_texts(docs, nodes, _near_by_sketch(pairs, nodes, percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, at, right = Shingler(words), None, b""
-        for batch in batches:
-            a, b, keep = batch.column("a").to_pylist(), batch.column("b").to_pylist(), []
-            for i in range(batch.num_rows):
-                if b[i] != at:  # rows that share an end mostly stand together
-                    at, right = b[i], shingler(batch.column("text_b")[i].as_py())[0].tobytes()
-                left = shingler(batch.column("text_a")[i].as_py())[0].tobytes()
-                shared = common(left, right)
-                keep.append(100 * shared >= percent * ((len(left) + len(right)) // 8 - shared))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        found = []
+        for batch, i, left, right in _sets(batches, words):
+            shared = common(left.tobytes(), right.tobytes())
+            if 100 * shared >= percent * (len(left) + len(right) - shared):
+                found.append((batch.column("a")[i].as_py(), batch.column("b")[i].as_py()))
+            if len(found) >= 10_000:
+                yield _pairs_batch(found)
+                found = []
+        yield _pairs_batch(found)
 
     return stored(both.mapInArrow(run, "a bigint, b bigint").distinct(), "linked")
 
 
+def _pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+
 def _to_pivots(nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) of each document with the pivots of its nearest regions, one region in each of the orders.
 
-    A region's pivot is its least document.  There are no more pairs than documents and orders, however large a group is.
+    A region's pivot is its document with the fewest rare shingles: in a group of near copies, one that is near to most.
+    There are no more pairs than documents and orders, however large a group is.
     """
     marks = F.explode(F.array(*(F.xxhash64(F.lit(k), F.col("least")[k]) for k in range(ORDERS)))).alias("key")
-    keyed = stored(nodes.select(F.col("id").alias("a"), marks), "keyed")
-    pivots = stored(keyed.groupBy("key").agg(F.min("a").alias("b"), F.max("a").alias("most")).where("b < most"), "pivots")
-    return stored(keyed.join(pivots, "key").where("a > b").select("a", "b").distinct(), "pairs")
+    keyed = stored(nodes.select("id", "rare", marks), "keyed")
+    pivots = keyed.groupBy("key").agg(F.min(F.struct("rare", "id")).alias("p"), F.count(F.lit(1)).alias("size"))
+    pivots = stored(pivots.where("size > 1").select("key", F.col("p.id").alias("pivot")), "pivots")
+    pairs = keyed.join(pivots, "key").where("id <> pivot")
+    return stored(pairs.select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct(), "pairs")
 
 
-def _within_regions(nodes: DataFrame, links: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of different components that meet in a region and that its windows leave.
+def _spread(rows: DataFrame, links: DataFrame, percent: int, *space: str) -> DataFrame:
+    """The rows of the regions that are not done: key, id, label, n, place, light, and the region's size and center.
 
-    Of two sets within the distance, at most (n_a + n_b)(1 - t)/(1 + t) members are of one side only.  In the region of
-    their first shared shingle all that stands before it is such: so the two places in order add up to no more, and one
-    of the two is *light*, its place no more than its own part.  A region without a light document or with documents of
-    one component only is done.
+    ``rows`` has id, n, rare and ``firsts``, the first members of the set in one order; ``space`` names what else members
+    must agree on.  Of two sets within the distance, at most (n_a + n_b)(1 - t)/(1 + t) members are of one side only.  In
+    the region of their first shared member all that stands before it is such: so the two places add up to no more, and
+    one of the two documents is *light*, its place no more than its own part.  A region without a light document, or with
+    documents of one component only, is done.
     """
-    one, two = 100 - percent, 100 + percent
     labels = components(links).withColumnRenamed("node", "id")
-    spread = nodes.join(labels, "id", "left").select(
-        "id", F.coalesce("label", "id").alias("label"), "n", F.posexplode("firsts").alias("place", "shingle")
+    rows = rows.join(labels, "id", "left").select(
+        *space, "id", "n", "rare", F.coalesce("label", "id").alias("label"), F.posexplode("firsts").alias("place", "member")
     )
-    spread = spread.withColumn("light", F.col("place") * two <= F.col("n") * one)
-    regions = spread.groupBy("shingle").agg(
-        F.min("label").alias("least"), F.max("label").alias("most"), F.max("light").alias("any_light")
+    light = (F.col("place") * (100 + percent) <= F.col("n") * (100 - percent)).alias("light")
+    rows = rows.select(F.xxhash64(*space, "member").alias("key"), "id", "n", "rare", "label", "place", light)
+    regions = rows.groupBy("key").agg(
+        F.min("label").alias("least"), F.max("label").alias("most"), F.max("light").alias("any_light"),
+        F.count(F.lit(1)).alias("size"), F.min(F.struct("rare", "id")).alias("c"),
     )
-    regions = stored(regions.where("least <> most and any_light").select("shingle"), "regions")
-    spread = stored(spread.join(regions, "shingle", "left_semi"), "spread")
-    left = spread.where("light").select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("id", "label", "n", "place")))
-    right = spread.select("shingle", "light", *(F.col(c).alias(f"{c}_b") for c in ("id", "label", "n", "place")))
+    regions = stored(regions.where("least <> most and any_light").select("key", "size", F.col("c.id").alias("center")), "regions")
+    return stored(rows.drop("rare").join(regions, "key"), "open")
+
+
+def _crossed(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components in one region whose sizes and places leave them within the distance."""
+    one, two = 100 - percent, 100 + percent
+    left = rows.where("light").select("key", *(F.col(c).alias(f"{c}_a") for c in ("id", "label", "n", "place")))
+    right = rows.select("key", "light", *(F.col(c).alias(f"{c}_b") for c in ("id", "label", "n", "place")))
     window = (F.col("place_a") + F.col("place_b")) * two <= (F.col("n_a") + F.col("n_b")) * one
     sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    # Pairs of two light documents stand there twice.
-    once = ~F.col("light") | (F.col("id_a") < F.col("id_b"))
-    met = left.join(right, "shingle").where((F.col("label_a") != F.col("label_b")) & window & sizes & once)
-    return stored(met.select(F.greatest("id_a", "id_b").alias("a"), F.least("id_a", "id_b").alias("b")).distinct(), "pairs")
+    once = ~F.col("light") | (F.col("id_a") < F.col("id_b"))  # two light documents meet twice
+    met = left.join(right, "key").where((F.col("label_a") != F.col("label_b")) & window & sizes & once)
+    return met.select(F.greatest("id_a", "id_b").alias("a"), F.least("id_a", "id_b").alias("b"))
+
+
+def _from_centers(docs: DataFrame, nodes: DataFrame, cells: DataFrame, words: int, percent: int) -> DataFrame:
+    """Cells (a, b) of documents a and centers b, as the documents look from there: center, id, n, linked, firsts.
 
+    The map x -> x ^ c (the members of one side only) keeps the number of members that two sets differ in.  ``firsts``
+    are the first members of x ^ c: those outside c, then those of c, by number; as many as one document may be apart
+    from another within the distance, and one.
+    """
+    both = _with_texts(docs, nodes, cells)
 
-def _join_regions(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    """Labels (node, label) of all nodes that link to another."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, linked, firsts = [], [], []
+            for _, _, left, right in _sets(iter([batch]), words):
+                rest = np.setxor1d(left, right, assume_unique=True)
+                total = len(left) + len(right)
+                sizes.append(len(left))
+                linked.append((100 + percent) * len(rest) <= (100 - percent) * total)
+                inside = np.isin(rest, right, assume_unique=True)
+                most = (100 - percent) * (len(left) + 100 * len(left) // percent) // (100 + percent) + 1
+                firsts.append(np.concatenate((rest[~inside], rest[inside]))[:most])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("b"), batch.column("a"), pa.array(sizes, pa.int64()), pa.array(linked, pa.bool_()), _lists(firsts)],
+                ["center", "id", "n", "linked", "firsts"],
+            )
+
+    return stored(both.mapInArrow(run, "center bigint, id bigint, n bigint, linked boolean, firsts array<bigint>"), "from-centers")
+
+
+def _join_regions(docs: DataFrame, nodes: DataFrame, words: int, percent: int, leaf: int) -> DataFrame:
+    """Labels (node, label) of all nodes that link to another.
+
+    Large regions go on as cells around their centers.  Two documents of a cell that link, in different components, share
+    a member of their sets as seen from the center c: else they differ in |x ^ c| + |y ^ c| members, so one of them, say
+    x, is within n_x (1 - t)/(1 + t) of c and linked to it; then y is not, and |x ^ c| < n_x - n_c, which no set is.
+    """
     links = _linked(docs, nodes, _to_pivots(nodes), words, percent)
-    met = _within_regions(nodes, links, percent)
-    return components(stored(links.union(_linked(docs, nodes, met, words, percent)), "links"))
+    rows = _spread(nodes, links, percent)
+    met = stored(_crossed(rows.where(F.col("size") <= leaf), percent).distinct(), "pairs")
+    cells = rows.where((F.col("size") > leaf) & (F.col("id") != F.col("center"))).select(
+        F.col("id").alias("a"), F.col("center").alias("b")
+    )
+    seen = _from_centers(docs, nodes, stored(cells.distinct(), "cells"), words, percent)
+    links = stored(links.union(seen.where("linked").select("id", "center")), "links")
+    rows = _spread(seen.withColumn("rare", F.lit(0)), links, percent, "center")
+    pairs = stored(met.union(_crossed(rows, percent)).distinct(), "pairs")
+    return components(stored(links.union(_linked(docs, nodes, pairs, words, percent)), "links"))
 
 
-def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _grouped(docs: DataFrame, words: int, percent: int, leaf: int) -> DataFrame:
     """A row per row of ``docs``: doc_id, t1, t2, n, and ``label``, null for rows without words."""
     rows = _nodes(docs, words, percent)
     full = rows.where("n > 0")
     nodes = stored(full.groupBy("f1", "f2").agg(
         F.min("row").alias("id"), F.min(F.struct("t1", "t2")).alias("one"),
-        *(F.first(c).alias(c) for c in ("n", "sketch", "firsts", "least")),
-    ).select("f1", "f2", "id", "one.*", "n", "sketch", "firsts", "least"), "nodes")
-    labels = _join_regions(docs, nodes, words, percent).withColumnRenamed("node", "id")
+        *(F.first(c).alias(c) for c in ("n", "sketch", "firsts", "least", "rare")),
+    ).select("f1", "f2", "id", "one.*", "n", "sketch", "firsts", "least", "rare"), "nodes")
+    labels = _join_regions(docs, nodes, words, percent, leaf).withColumnRenamed("node", "id")
     named = nodes.select("f1", "f2", "id").join(labels, "id", "left").select(
         "f1", "f2", F.coalesce("label", "id").alias("label")
     )
@@ -224,7 +299,7 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return stored(joined.select("doc_id", "t1", "t2", "n", "label").unionByName(none), "grouped")
 
 
-def mark_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def mark_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, leaf: int = LEAF) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
     Two rows link when 100 * shared >= percent * all of their different shingles; component_id is the least doc_id that
@@ -233,7 +308,7 @@ def mark_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     no id: the component is named by the least other, and is null if there is none.  Other columns are left out.
     No rows give no rows.
     """
-    rows = _grouped(docs, words, percent)
+    rows = _grouped(docs, words, percent, leaf)
     least = stored(rows.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least")), "least")
     return rows.join(least, "label", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
@@ -241,12 +316,12 @@ def mark_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     )
 
 
-def keep_one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, leaf: int = LEAF) -> DataFrame:
     """The rows of ``docs``, with all their columns, but one of each group: that with the least id (null ids last).
 
     Rows without words all stay.
     """
-    rows = _grouped(docs, words, percent).where("label is not null")
+    rows = _grouped(docs, words, percent, leaf).where("label is not null")
     stay = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t1", "t2")).alias("stay"))
     stay = stored(stay.select(*(F.col(f"stay.{c}").alias(f"_stay_{c}") for c in ("doc_id", "t1", "t2"))), "stay")
     t1, t2 = _text_key()
