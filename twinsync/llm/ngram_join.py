@@ -34,6 +34,7 @@ from twinsync.llm.shingles import Shingler, common, identity, sketch, sketch_dis
 WORDS, PERCENT = 4, 85
 COMMON_FROM, COMMON_MOST = 8, 1 << 20
 ORDERS, LEAF = 4, 32
+FOLDED = 512
 # Odd multipliers, one per order of the shingles (fixed values).
 _ORDERS = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xAEF17502108EF2D9], dtype=np.uint64)
 
@@ -46,17 +47,13 @@ def _text_key() -> list[Column]:
     return [F.xxhash64(whole_text()).alias("t1"), F.xxhash64(F.lit(1), whole_text()).alias("t2")]
 
 
-def _late(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """1 for the shingles that are known as frequent, else 0."""
-    if not len(frequent):
-        return np.zeros(len(shingles), dtype=np.int64)
-    at = np.searchsorted(frequent, shingles)
-    at[at == len(frequent)] = 0
-    return (frequent[at] == shingles).astype(np.int64)
-
-
-def _ordered(shingles: np.ndarray, lengths: np.ndarray, late: np.ndarray, count: int) -> np.ndarray:
+def _ordered(shingles: np.ndarray, lengths: np.ndarray, frequent: np.ndarray, count: int) -> np.ndarray:
     """The first ``count`` shingles in the order of all: not known as frequent, long, by number."""
+    late = np.zeros(len(shingles), dtype=np.int64)
+    if len(frequent):
+        at = np.searchsorted(frequent, shingles)
+        at[at == len(frequent)] = 0
+        late = (frequent[at] == shingles).astype(np.int64)
     order = np.argsort(late * 1024 - np.minimum(lengths, 1000), kind="stable")
     return shingles[order[:count]]
 
@@ -76,7 +73,7 @@ def _frequent(docs: DataFrame, words: int, percent: int) -> np.ndarray:
             found = []
             for text in batch.column("text"):
                 shingles, lengths = shingler(text.as_py())
-                found.append(_ordered(shingles, lengths, _late(shingles, none), 3 * _prefix(len(shingles), percent) // 2))
+                found.append(_ordered(shingles, lengths, none, 3 * _prefix(len(shingles), percent) // 2))
             yield pa.RecordBatch.from_arrays([_lists(found).flatten()], ["shingle"])
 
     counts = docs.select("text").mapInArrow(firsts, "shingle bigint").groupBy("shingle").count()
@@ -92,7 +89,7 @@ def _nodes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            sizes, ones, twos, sketches, firsts, least, rare = [], [], [], [], [], [], []
+            sizes, ones, twos, sketches, firsts, least = [], [], [], [], [], []
             for text in batch.column("text"):
                 shingles, lengths = shingler(text.as_py())
                 one, two = identity(shingles)
@@ -100,23 +97,19 @@ def _nodes(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 ones.append(one)
                 twos.append(two)
                 sketches.append(sketch(shingles) if len(shingles) else b"")
-                late = _late(shingles, frequent.value)
-                rare.append(len(late) - int(late.sum()))
-                firsts.append(_ordered(shingles, lengths, late, _prefix(len(shingles), percent) if len(shingles) else 0))
+                firsts.append(_ordered(shingles, lengths, frequent.value, _prefix(len(shingles), percent) if len(shingles) else 0))
                 least.append((shingles[:, None] * _ORDERS).min(axis=0) if len(shingles) else shingles)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in ("doc_id", "t1", "t2")]
                 + [pa.array(sizes, pa.int64()), pa.array(ones, pa.int64()), pa.array(twos, pa.int64()),
-                   pa.array(sketches, pa.binary()), _lists(firsts), _lists(least),
-                   pa.array(rare, pa.int64())],
-                ["doc_id", "t1", "t2", "n", "f1", "f2", "sketch", "firsts", "least", "rare"],
+                   pa.array(sketches, pa.binary()), _lists(firsts), _lists(least)],
+                ["doc_id", "t1", "t2", "n", "f1", "f2", "sketch", "firsts", "least"],
             )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     described = docs.select("doc_id", *_text_key(), "text").mapInArrow(
         describe,
-        f"doc_id {id_type}, t1 bigint, t2 bigint, n bigint, f1 bigint, f2 bigint, sketch binary, firsts array<bigint>, least array<bigint>, "
-        "rare bigint",
+        f"doc_id {id_type}, t1 bigint, t2 bigint, n bigint, f1 bigint, f2 bigint, sketch binary, firsts array<bigint>, least array<bigint>",
     )
     return stored(described.withColumn("row", F.monotonically_increasing_id()), "described")
 
@@ -187,49 +180,52 @@ def _pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 def _to_pivots(nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) of each document with the pivots of its nearest regions, one region in each of the orders.
 
-    A region's pivot is its document with the fewest rare shingles: in a group of near copies, one that is near to most.
-    There are no more pairs than documents and orders, however large a group is.
+    A region's pivot is its least document.  There are no more pairs than documents and orders, however large a group is.
     """
     marks = F.explode(F.array(*(F.xxhash64(F.lit(k), F.col("least")[k]) for k in range(ORDERS)))).alias("key")
-    keyed = stored(nodes.select("id", "rare", marks), "keyed")
-    pivots = keyed.groupBy("key").agg(F.min(F.struct("rare", "id")).alias("p"), F.count(F.lit(1)).alias("size"))
-    pivots = stored(pivots.where("size > 1").select("key", F.col("p.id").alias("pivot")), "pivots")
-    pairs = keyed.join(pivots, "key").where("id <> pivot")
-    return stored(pairs.select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct(), "pairs")
+    keyed = stored(nodes.select(F.col("id").alias("a"), marks), "keyed")
+    pivots = stored(keyed.groupBy("key").agg(F.min("a").alias("b"), F.max("a").alias("most")).where("b < most"), "pivots")
+    return stored(keyed.join(pivots, "key").where("a > b").select("a", "b").distinct(), "pairs")
 
 
 def _spread(rows: DataFrame, links: DataFrame, percent: int, *space: str) -> DataFrame:
     """The rows of the regions that are not done: key, id, label, n, place, light, and the region's size and center.
 
-    ``rows`` has id, n, rare and ``firsts``, the first members of the set in one order; ``space`` names what else members
+    ``rows`` has id, n and ``firsts``, the first members of the set in one order; ``space`` names what else members
     must agree on.  Of two sets within the distance, at most (n_a + n_b)(1 - t)/(1 + t) members are of one side only.  In
     the region of their first shared member all that stands before it is such: so the two places add up to no more, and
     one of the two documents is *light*, its place no more than its own part.  A region without a light document, or with
     documents of one component only, is done.
     """
     labels = components(links).withColumnRenamed("node", "id")
+    carried = [c for c in ("folded",) if c in rows.columns]
     rows = rows.join(labels, "id", "left").select(
-        *space, "id", "n", "rare", F.coalesce("label", "id").alias("label"), F.posexplode("firsts").alias("place", "member")
+        *space, *carried, "id", "n", F.coalesce("label", "id").alias("label"), F.posexplode("firsts").alias("place", "member")
     )
     light = (F.col("place") * (100 + percent) <= F.col("n") * (100 - percent)).alias("light")
-    rows = rows.select(F.xxhash64(*space, "member").alias("key"), "id", "n", "rare", "label", "place", light)
+    rows = rows.select(F.xxhash64(*space, "member").alias("key"), *carried, "id", "n", "label", "place", light)
     regions = rows.groupBy("key").agg(
         F.min("label").alias("least"), F.max("label").alias("most"), F.max("light").alias("any_light"),
-        F.count(F.lit(1)).alias("size"), F.min(F.struct("rare", "id")).alias("c"),
+        F.count(F.lit(1)).alias("size"), F.min(F.struct("place", "id")).alias("c"),
     )
     regions = stored(regions.where("least <> most and any_light").select("key", "size", F.col("c.id").alias("center")), "regions")
-    return stored(rows.drop("rare").join(regions, "key"), "open")
+    return stored(rows.join(regions, "key"), "open")
 
 
 def _crossed(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components in one region whose sizes and places leave them within the distance."""
+    """Pairs (a, b) of different components in one region whose sizes, places and sketches leave them within the distance."""
     one, two = 100 - percent, 100 + percent
-    left = rows.where("light").select("key", *(F.col(c).alias(f"{c}_a") for c in ("id", "label", "n", "place")))
-    right = rows.select("key", "light", *(F.col(c).alias(f"{c}_b") for c in ("id", "label", "n", "place")))
+    columns = [c for c in rows.columns if c in ("id", "label", "n", "place", "folded")]
+    left = rows.where("light").select("key", *(F.col(c).alias(f"{c}_a") for c in columns))
+    right = rows.select("key", "light", *(F.col(c).alias(f"{c}_b") for c in columns))
     window = (F.col("place_a") + F.col("place_b")) * two <= (F.col("n_a") + F.col("n_b")) * one
     sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     once = ~F.col("light") | (F.col("id_a") < F.col("id_b"))  # two light documents meet twice
-    met = left.join(right, "key").where((F.col("label_a") != F.col("label_b")) & window & sizes & once)
+    near = (F.col("label_a") != F.col("label_b")) & window & sizes & once
+    if "folded" in columns:
+        apart = [F.bit_count(F.col("folded_a")[i].bitwiseXOR(F.col("folded_b")[i])) for i in range(FOLDED // 64)]
+        near = near & (sum(apart[1:], apart[0]) * two <= (F.col("n_a") + F.col("n_b")) * one)
+    met = left.join(right, "key").where(near)
     return met.select(F.greatest("id_a", "id_b").alias("a"), F.least("id_a", "id_b").alias("b"))
 
 
@@ -238,27 +234,29 @@ def _from_centers(docs: DataFrame, nodes: DataFrame, cells: DataFrame, words: in
 
     The map x -> x ^ c (the members of one side only) keeps the number of members that two sets differ in.  ``firsts``
     are the first members of x ^ c: those outside c, then those of c, by number; as many as one document may be apart
-    from another within the distance, and one.
+    from another within the distance, and one.  ``folded`` is a parity sketch of x of one small size for all.
     """
     both = _with_texts(docs, nodes, cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, linked, firsts = [], [], []
+            sizes, linked, firsts, folded = [], [], [], []
             for _, _, left, right in _sets(iter([batch]), words):
                 rest = np.setxor1d(left, right, assume_unique=True)
                 total = len(left) + len(right)
                 sizes.append(len(left))
                 linked.append((100 + percent) * len(rest) <= (100 - percent) * total)
+                parity = np.bincount((left & np.uint64(FOLDED - 1)).astype(np.int64), minlength=FOLDED) & 1
+                folded.append(np.packbits(parity.astype(np.uint8)).view(np.int64))
                 inside = np.isin(rest, right, assume_unique=True)
                 most = (100 - percent) * (len(left) + 100 * len(left) // percent) // (100 + percent) + 1
                 firsts.append(np.concatenate((rest[~inside], rest[inside]))[:most])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("b"), batch.column("a"), pa.array(sizes, pa.int64()), pa.array(linked, pa.bool_()), _lists(firsts)],
-                ["center", "id", "n", "linked", "firsts"],
+                [batch.column("b"), batch.column("a"), pa.array(sizes, pa.int64()), pa.array(linked, pa.bool_()), _lists(firsts), _lists(folded)],
+                ["center", "id", "n", "linked", "firsts", "folded"],
             )
 
-    return stored(both.mapInArrow(run, "center bigint, id bigint, n bigint, linked boolean, firsts array<bigint>"), "from-centers")
+    return stored(both.mapInArrow(run, "center bigint, id bigint, n bigint, linked boolean, firsts array<bigint>, folded array<bigint>"), "from-centers")
 
 
 def _join_regions(docs: DataFrame, nodes: DataFrame, words: int, percent: int, leaf: int) -> DataFrame:
@@ -276,7 +274,10 @@ def _join_regions(docs: DataFrame, nodes: DataFrame, words: int, percent: int, l
     )
     seen = _from_centers(docs, nodes, stored(cells.distinct(), "cells"), words, percent)
     links = stored(links.union(seen.where("linked").select("id", "center")), "links")
-    rows = _spread(seen.withColumn("rare", F.lit(0)), links, percent, "center")
+    rows = _spread(seen, links, percent, "center")
+    stars = rows.where(F.col("id") != F.col("center")).select(F.greatest("id", "center").alias("a"), F.least("id", "center").alias("b"))
+    links = stored(links.union(_linked(docs, nodes, stored(stars.distinct(), "pairs"), words, percent)), "links")
+    rows = _spread(seen, links, percent, "center")
     pairs = stored(met.union(_crossed(rows, percent)).distinct(), "pairs")
     return components(stored(links.union(_linked(docs, nodes, pairs, words, percent)), "links"))
 
@@ -287,8 +288,8 @@ def _grouped(docs: DataFrame, words: int, percent: int, leaf: int) -> DataFrame:
     full = rows.where("n > 0")
     nodes = stored(full.groupBy("f1", "f2").agg(
         F.min("row").alias("id"), F.min(F.struct("t1", "t2")).alias("one"),
-        *(F.first(c).alias(c) for c in ("n", "sketch", "firsts", "least", "rare")),
-    ).select("f1", "f2", "id", "one.*", "n", "sketch", "firsts", "least", "rare"), "nodes")
+        *(F.first(c).alias(c) for c in ("n", "sketch", "firsts", "least")),
+    ).select("f1", "f2", "id", "one.*", "n", "sketch", "firsts", "least"), "nodes")
     labels = _join_regions(docs, nodes, words, percent, leaf).withColumnRenamed("node", "id")
     named = nodes.select("f1", "f2", "id").join(labels, "id", "left").select(
         "f1", "f2", F.coalesce("label", "id").alias("label")
