@@ -85,25 +85,59 @@ def test_quality(spark):
     assert np.mean([found[r["doc_id"]]["predicted"] == r["quality"] for r in labels]) >= 0.9
 
 
-def test_lm_scoring(spark):
-    texts = {1: "the cat sat on the mat", 2: "the dog sat on the log", 3: "buy now buy now", 4: "the cat"}
-    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
-    found = by_id(lm_scoring.score(docs, docs.where("doc_id in (1, 4)")))
-    pairs = {i: list(zip(["?", *t.split()], t.split())) for i, t in texts.items()}
-    words = {w for p in pairs.values() for _, w in p} | {"?"}
-
-    def loss(i, of):
-        kept = Counter(p for j in of for p in pairs[j])
-        single, context = Counter(), Counter()
-        for (a, b), n in kept.items():
-            single[b] += n
-            context[a] += n
-        total = sum(single.values())
-        chance = lambda w: (single[w] + 0.5) / (total + 0.5 * len(words))
-        return np.mean([-np.log((kept[p] + 8 * chance(p[1])) / (context[p[0]] + 8)) for p in pairs[i]])
-
+@pytest.mark.parametrize("sent", [1 << 6, 1 << 30])
+def test_lm_scoring(spark, texts, sent):
+    """Against models that are counted anew for each document; which words are sent to the tasks changes nothing."""
+    good = {r["doc_id"] for r in table(spark, SF_DIR, "labels").where("quality = 1").collect()}
+    found = by_id(lm_scoring.score(
+        table(spark, SF_DIR, "documents"), table(spark, SF_DIR, "labels").where("quality = 1"), class_share=1 << 6, sent_share=sent
+    ))
+    split = {i: lm_scoring.tokens(t) for i, t in texts.items()}
+    words = Counter(w for t in split.values() for w in t)
+    total = words.total()
+    kind = {w: w if n << 6 >= total else lm_scoring.ending(w) for w, n in words.items()}
+    assert any(isinstance(k, bytes) for k in kind.values())
+    classes = lm_scoring.ENDINGS + sum(n << 6 >= total for n in words.values())
+    sharing = Counter(kind.values())
+    pairs = {i: Counter(zip([None, *(kind[w] for w in t)], (kind[w] for w in t))) for i, t in split.items()}
+
+    def counted(ids):
+        pair, word, single, context = Counter(), Counter(), Counter(), Counter()
+        for i in ids:
+            pair.update(pairs[i])
+            word.update(split[i])
+        for (b, k), n in pair.items():
+            single[k] += n
+            context[b] += n
+        return pair, word, single, context, single.total()
+
+    def loss(i, every, ids):
+        pair, word, single, context, n = every
+        mine = counted([i] if i in ids else [])
+        before, out = None, []
+        for w in split[i]:
+            k = kind[w]
+            chance = (single[k] - mine[2][k] + 0.5) / (n - mine[4] + 0.5 * classes)
+            p = (pair[before, k] - mine[0][before, k] + 8 * chance) / (context[before] - mine[3][before] + 8)
+            if not isinstance(k, bytes):
+                p *= (word[w] - mine[1][w] + 0.5) / (single[k] - mine[2][k] + 0.5 * sharing[k])
+            out.append(-np.log(p))
+            before = k
+        return np.mean(out) if out else 0.0
+
+    sides = {"background_loss": set(texts), "target_loss": good & set(texts)}
+    sides = {name: (counted(ids), ids) for name, ids in sides.items()}
     for i, row in found.items():
-        assert row["target_loss"] == pytest.approx(loss(i, (1, 4))) and row["background_loss"] == pytest.approx(loss(i, texts))
+        for name, (every, ids) in sides.items():
+            assert row[name] == pytest.approx(loss(i, every, ids))
+    assert len(found) == len(texts)
+
+
+def test_lm_scoring_tells_good_from_bad(spark):
+    found = by_id(QUERIES["op2_lm_scoring"](spark, SF_DIR))
+    labels = table(spark, SF_DIR, "labels").collect()
+    good, bad = ([found[r["doc_id"]]["score"] for r in labels if r["quality"] == q] for q in (1, 0))
+    assert np.mean([g < b for g in good for b in bad]) > 0.9
 
 
 @pytest.mark.parametrize("share", [0, 0.01])
