@@ -5,6 +5,7 @@ import hashlib
 import os
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -243,6 +244,38 @@ def test_decontamination(spark, texts, options):
     assert {i: tuple(r[c] for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")) for i, r in found.items()} == expected
 
 
+def test_longest_matches_of_repetitive_texts(monkeypatch):
+    """All maximal matches, found by trying every pair of places; few cells at once change nothing."""
+    rng = random.Random(5)
+    docs = [[rng.choice([b"a", b"a", b"b"]) for _ in range(rng.randrange(60))] for _ in range(12)]
+    items = [(i, " ".join(rng.choice("aab") for _ in range(n))) for i, n in enumerate([2, 3, 9, 30, 30])]
+    expected = []
+    for d, doc in enumerate(docs):
+        for name, text in items:
+            item = [w.encode() for w in text.split()]
+            for i in range(len(doc)):
+                for j in range(len(item)):
+                    n = 0
+                    while i + n < len(doc) and j + n < len(item) and doc[i + n] == item[j + n]:
+                        n += 1
+                    if n >= min(4, len(item)) and not (i and j and doc[i - 1] == item[j - 1]):
+                        expected.append((d, str(name), i, j, n))
+    for cells in (7, 1 << 21):
+        monkeypatch.setattr(decontamination, "CELLS_AT_ONCE", cells)
+        found = decontamination.scan_shard(docs, decontamination.make_block(items, 4))[2]
+        assert sorted((d, *m) for d, of in enumerate(found) for m in of) == sorted(expected)
+
+
+def test_many_equal_words_take_little_memory():
+    block = decontamination.make_block([(1, "a " * 1000)], 13)
+    tracemalloc.start()
+    hits, items, matches = decontamination.scan_shard([[b"a"] * 40_000], block)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (hits, items) == ([[(0, 40_000)]], [["1"]]) and max(m[3] for m in matches[0]) == 1000
+    assert most < 400 << 20
+
+
 def test_longest_matches_and_short_items(spark):
     words = [f"w{i}" for i in range(40)]
     docs = spark.createDataFrame([(1, "x y " + " ".join(words[5:30]) + " z w1"), (2, "W1 w0")], "doc_id bigint, text string")

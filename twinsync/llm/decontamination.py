@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
 SHARD_WORDS = 1 << 20
+CELLS_AT_ONCE = 1 << 21
 HITS, ITEMS, MATCHES, WORDS = "_llm_hits", "_llm_items", "_llm_matches", "_llm_words"
 
 # Word bytes: digits, lower-case letters, and every byte of a character beyond ASCII; A-Z become a-z, others split.
@@ -152,6 +153,38 @@ def _runs(ids: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
     return begin[long], end[long]
 
 
+def _stretches(place: np.ndarray, window: np.ndarray, table: Windows, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Longest matches as rows of (item, place less place in the item, first place), and the place of the last window.
+
+    ``place`` and ``window`` are the windows found in a shard of ``words`` words.  A match begins where the windows before,
+    on both sides, are not the same one, and ends where those behind are not.  Of the cells of occurrence and place in
+    an item, which may be many in repetitive text, a bounded number is laid out at a time, and only these ends are kept.
+    """
+    there = np.full(words + 2, -1, dtype=np.int64)
+    there[place + 1] = window
+    item, at = table.places.T
+    span = np.zeros(int(item.max()) + 1, dtype=np.int64)
+    np.maximum.at(span, item, at + 2)
+    base = np.cumsum(span) - span + 1
+    own = np.full(int(span.sum()) + 2, -2, dtype=np.int64)
+    copies = np.diff(table.first)
+    own[base[item] + at] = np.repeat(np.arange(len(copies)), copies)
+
+    cells = copies[window]
+    upto = np.cumsum(cells)
+    cuts = np.unique(np.append(np.searchsorted(upto, np.arange(CELLS_AT_ONCE, int(upto[-1]), CELLS_AT_ONCE)), [0, len(cells)]))
+    begins, ends = [], []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        row = _spread(table.first[:-1][window[a:b]], cells[a:b])
+        here = np.repeat(place[a:b], cells[a:b])
+        flat = base[item[row]] + at[row]
+        for out, step in ((begins, -1), (ends, 1)):
+            edge = there[here + 1 + step] != own[flat + step]
+            out.append(np.stack([item[row[edge]], here[edge] - at[row[edge]], here[edge]], axis=1))
+    first, last = (x[np.lexsort(x.T[::-1])] for x in (np.concatenate(begins), np.concatenate(ends)))
+    return first, last[:, 2]
+
+
 def scan_shard(texts: list[list[bytes]], block: Block) -> tuple[list, list, list]:
     """For each document of a shard: hit stretches, names of the items found, and longest matches."""
     hits: list[list[tuple[int, int]]] = [[] for _ in texts]
@@ -183,13 +216,10 @@ def scan_shard(texts: list[list[bytes]], block: Block) -> tuple[list, list, list
         place = origin[order[_spread(low, count)]]
         np.add.at(mark, place, 1)
         np.add.at(mark, place + table.width, -1)
-        copies = (table.first[1:] - table.first[:-1])[window]
-        where = table.places[_spread(table.first[:-1][window], copies)]
-        place = np.repeat(place, copies)
-        found.append(np.stack([
-            np.searchsorted(starts, place, side="right") - 1, where[:, 0], place - where[:, 1], place,
-            np.full(len(place), table.width),
-        ], axis=1))
+        first, last = _stretches(place, window, table, len(ids))
+        found.append(np.column_stack([
+            np.searchsorted(starts, first[:, 2], side="right") - 1, first, last - first[:, 2] + table.width
+        ]))
     if not found:
         return hits, items, matches
     inside = np.cumsum(mark[:-1]) > 0
@@ -199,13 +229,7 @@ def scan_shard(texts: list[list[bytes]], block: Block) -> tuple[list, list, list
         hits[doc].append((int(a - starts[doc]), int(b - starts[doc])))
     table = np.concatenate(found)
     table = table[np.lexsort(table.T[[3, 2, 1, 0]])]
-    new = np.ones(len(table), dtype=bool)
-    new[1:] = (table[1:, :3] != table[:-1, :3]).any(axis=1) | (table[1:, 3] != table[:-1, 3] + 1)
-    firsts = np.flatnonzero(new)
-    lasts = np.append(firsts[1:], len(table)) - 1
-    for doc, item, diagonal, place, length in zip(
-        *(table[firsts, c].tolist() for c in range(4)), (table[lasts, 3] - table[firsts, 3] + table[firsts, 4]).tolist()
-    ):
+    for doc, item, diagonal, place, length in table.tolist():
         name = block.names[item]
         matches[doc].append((name, place - int(starts[doc]), place - diagonal, length))
         if name not in items[doc]:
