@@ -12,6 +12,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
@@ -134,6 +135,24 @@ def test_lm_scoring(spark, texts, sent):
     assert len(found) == len(texts)
 
 
+def test_lm_scoring_holds_few_tokens_at_a_time():
+    """What a task holds for its texts does not grow with the rows of a batch."""
+    rng = random.Random(2)
+    batch = pa.record_batch({"text": [" ".join(rng.choices("abcdefgh", k=50)) for _ in range(20_000)]})
+    vocabulary = lm_scoring.Vocabulary(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
+    numbers = lm_scoring._Numbers(vocabulary)
+    side = lm_scoring.Side(np.ones((vocabulary.size, vocabulary.size)), np.zeros(0))
+    models = lm_scoring.Models(vocabulary, np.ones(vocabulary.size), side, side, 8.0)
+    tracemalloc.start()
+    rows = 0
+    for begin, split in lm_scoring._chunks(batch):
+        assert begin == rows
+        rows += len(split)
+        models.losses(lm_scoring._chunk(split, numbers, vocabulary))
+    assert rows == 20_000 and tracemalloc.get_traced_memory()[1] < 50_000_000
+    tracemalloc.stop()
+
+
 def test_lm_scoring_tells_good_from_bad(spark):
     found = by_id(QUERIES["op2_lm_scoring"](spark, SF_DIR))
     labels = table(spark, SF_DIR, "labels").collect()

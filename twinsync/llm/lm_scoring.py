@@ -16,8 +16,10 @@ join; no such word has a large share, so no key of the join is hot.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,8 @@ CLASS_SHARE, SENT_SHARE = 1 << 10, 1 << 17
 ENDINGS = 1 << 8
 SMOOTHING, PRIOR = 8.0, 0.5
 CACHE_WORDS = 500_000
-CHUNK_TOKENS = 1 << 20
+# Tokens that are held as arrays at a time, and rows of counts that meet before they leave the task.
+CHUNK_TOKENS, HELD_COUNTS = 1 << 16, 1 << 19
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -76,20 +79,19 @@ class _Numbers(dict):
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__()
-        self.marks = vocabulary.marks
+        self.places = {mark: at for at, mark in enumerate(vocabulary.marks.tolist())}
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
         mark = _mark(word)
-        at = int(np.searchsorted(self.marks, mark))
-        number = self[word] = at if at < len(self.marks) and self.marks[at] == mark else mark
+        number = self[word] = self.places.get(mark, mark)
         return number
 
 
 def _word_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally: dict[bytes, int] = {}
+        tally: Counter[bytes] = Counter()
 
         def out() -> pa.RecordBatch:
             marks = [_mark(w) for w in tally]
@@ -97,8 +99,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in batch.column("text"):
-                for word in tokens(text.as_py()):
-                    tally[word] = tally.get(word, 0) + 1
+                tally.update(tokens(text.as_py()))
                 if len(tally) > CACHE_WORDS:
                     yield out()
                     tally.clear()
@@ -132,7 +133,7 @@ class Chunk:
 
 def _chunk(texts: list[list[bytes]], numbers: _Numbers, vocabulary: Vocabulary) -> Chunk:
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    word = np.fromiter((numbers[w] for t in texts for w in t), dtype=np.int64, count=int(sizes.sum()))
+    word = np.fromiter(map(numbers.__getitem__, chain.from_iterable(texts)), dtype=np.int64, count=int(sizes.sum()))
     kind = vocabulary.class_of(word)
     before = np.concatenate((kind[:1], kind[:-1]))
     before[(np.cumsum(sizes) - sizes)[sizes > 0]] = vocabulary.size - 1
@@ -171,11 +172,18 @@ def _counts(flagged: DataFrame, vocabulary) -> DataFrame:
         cells = known.size * known.size
         pairs = np.zeros((2, cells), dtype=np.int64)
         sent = np.zeros((2, len(known.marks)), dtype=np.int64)
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def out(what: int, keys: np.ndarray, background: np.ndarray, target: np.ndarray) -> pa.RecordBatch:
             columns = [pa.array(np.full(len(keys), what, dtype=np.int32)), *(pa.array(c, pa.int64()) for c in (keys, background, target))]
             return pa.RecordBatch.from_arrays(columns, ["what", "key", "background", "target"])
 
+        def others() -> pa.RecordBatch:
+            keys, background, target = map(np.concatenate, zip(*held))
+            held.clear()
+            found, n, place = _sums(keys, background)
+            return out(_OTHER, found, *(x.astype(np.int64) for x in (n, np.bincount(place, weights=target, minlength=len(found)))))
+
         for batch in batches:
             flags = np.array([bool(f) for f in batch.column("target").to_pylist()])
             for begin, texts in _chunks(batch):
@@ -187,7 +195,11 @@ def _counts(flagged: DataFrame, vocabulary) -> DataFrame:
                     pairs[side, found] += n
                     sent[side] += np.bincount(chunk.word[rows][frequent[rows]], minlength=len(known.marks))
                 found, n, place = _sums(chunk.word[~frequent])
-                yield out(_OTHER, found, n, np.bincount(place, weights=mine[~frequent], minlength=len(found)).astype(np.int64))
+                held.append((found, n, np.bincount(place, weights=mine[~frequent], minlength=len(found))))
+                if sum(len(keys) for keys, _, _ in held) >= HELD_COUNTS:
+                    yield others()
+        if held:
+            yield others()
         for what, table in ((_PAIR, pairs), (_SENT, sent)):
             at = np.flatnonzero(table[0])
             yield out(what, at, table[0, at], table[1, at])
