@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing extra columns, for every operator."""
 
+import time
+
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ import corpus_pipeline
 from twinsync.llm import (
     chat_format, decontamination, exact_dedup, language, line_dedup, lm_scoring, ngram_join, packing, quality, sharding,
 )
+from twinsync.llm.common import stored
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 LONG = "\n".join(f"line {i} of a very long text about shuffles and spills" for i in range(4000))
@@ -111,6 +114,21 @@ def test_language(docs):
     assert {(r["lang_pred"], r["score"]) for r in unknown} == {("und", 0.0)}
 
 
+def test_stored_steps_leave_no_shuffle_files(spark):
+    def files():
+        every = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (every.apply(i).getName() for i in range(every.size())) if name.startswith("shuffle_")}
+
+    before = files()
+    rows_in = spark.range(100).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("n"))
+    kept = stored(rows_in, "test")
+    until = time.monotonic() + 10  # files go in the background
+    while (left := files() - before) and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not left and kept.count() == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
 def test_lm_scoring(docs, labels):
     found = rows(lm_scoring.score(docs, labels.where("quality = 1")))
     assert len(found) == len(ROWS)
